@@ -1,0 +1,54 @@
+"""The layered run: raw CSV to bronze, silver and gold, with a quality gate after each of the last two."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ordermill.operators.quality import enforce
+from ordermill.operators.suites import GOLD_SUITES, SILVER_SUITES, check_gold, check_silver
+from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, StoredWarehouse, Warehouse
+from ordermill.sources.files import CORRUPT, ingest, read_table, write_table
+
+
+def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, tables: list[str]) -> DataFrame:
+    """Clean and write every table, then check what was written. Returns the report."""
+    for name in tables:
+        raw = read_table(spark, f"{bronze_dir}/{name}")
+        write_table(CLEANERS[name](raw.drop(CORRUPT)), f"{silver_dir}/{name}")
+    reports = [check_silver(read_table(spark, f"{silver_dir}/{name}"), name) for name in tables if name in SILVER_SUITES]
+    return reduce(DataFrame.unionByName, reports)
+
+
+class _GoldBuilder(Warehouse):
+    """Gold definitions that read gold tables already written, so nothing is computed twice."""
+
+    def __init__(self, spark: SparkSession, silver_dir: str, gold_dir: str):
+        super().__init__(lambda name: read_table(spark, f"{silver_dir}/{name}"))
+        self._spark = spark
+        self._gold_dir = gold_dir
+
+    def write(self, name: str) -> None:
+        path = f"{self._gold_dir}/{name}"
+        write_table(getattr(self, name), path)
+        # Later tables of the layer are planned on the written one.
+        self.__dict__[name] = read_table(self._spark, path)
+
+
+def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str) -> DataFrame:
+    """Write the star schema in dependency order, then check it. Returns the report."""
+    builder = _GoldBuilder(spark, silver_dir, gold_dir)
+    for name in GOLD_TABLES:
+        builder.write(name)
+    reports = [check_gold(read_table(spark, f"{gold_dir}/{name}"), name) for name in GOLD_SUITES]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def run(spark: SparkSession, raw_dir: str, out_dir: str, prefix: str = "") -> StoredWarehouse:
+    """All layers under ``out_dir``; stops before gold unless every silver check passes."""
+    bronze, silver, gold = (f"{out_dir}/{layer}" for layer in ("bronze", "silver", "gold"))
+    tables = ingest(spark, raw_dir, bronze, prefix)
+    enforce(build_silver(spark, bronze, silver, tables))
+    enforce(build_gold(spark, silver, gold))
+    return StoredWarehouse(spark, gold)
