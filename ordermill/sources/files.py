@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ordermill.sources.datasets import DATASETS, Dataset
 
@@ -18,9 +17,8 @@ def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, multi
 
     Malformed fields become NULL and the whole line is kept in ``_corrupt_record``.
     """
-    schema = T.StructType(dataset.schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(f"{dataset.schema}, {CORRUPT} string")
         .option("header", True)
         .option("multiLine", dataset.multi_line if multi_line is None else multi_line)
         .option("quote", '"')
