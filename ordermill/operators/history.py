@@ -4,10 +4,10 @@ One row per (order, seller). "Earlier" means earlier in (purchase time, order id
 that is still in transit counts as an order but has no outcome yet.
 
 A plain window over ``seller_id`` sends a seller's whole history to one task, which fails when one
-seller holds a large part of all rows. Sellers above ``hot_rows`` items are therefore cut into
+seller holds a large part of all rows. Sellers above ``hot_rows`` orders are therefore cut into
 one-minute blocks: the window runs inside (seller, block), and the totals of all earlier blocks are
 added from a per-block summary that the shuffle has already combined. Other sellers form a single
-block, so without hot sellers the plan is the plain window plus a one-column count.
+block, so without hot sellers the work is the plain window plus a count per seller.
 """
 
 from __future__ import annotations
@@ -26,20 +26,25 @@ _KEY = ["_seller", "_unnamed", "_block"]
 _UNKNOWN_TIME = -(2**62)
 
 
-def order_seller_pairs(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Distinct (order, seller) pairs with the order's purchase time and outcome."""
-    outcome = orders.select("order_id", "order_purchase_timestamp", "delivery_delay_days", "is_late")
-    return items.select("order_id", "seller_id").distinct().join(outcome, "order_id", "inner")
+def order_sellers(items: DataFrame) -> DataFrame:
+    """Distinct (order, seller) pairs; an item without an order id belongs to no order."""
+    return items.filter(F.col("order_id").isNotNull()).select("order_id", "seller_id").distinct()
 
 
-def hot_sellers(items: DataFrame, hot_rows: int) -> DataFrame:
-    """Sellers with more than ``hot_rows`` items: at most (all items / hot_rows) rows."""
-    counted = items.groupBy("seller_id").agg(F.count(F.lit(1)).alias("_items"))
-    return counted.filter(F.col("_items") > hot_rows).select(
+def hot_sellers(pairs: DataFrame, hot_rows: int) -> DataFrame:
+    """Sellers with more than ``hot_rows`` orders: at most (all pairs / hot_rows) rows."""
+    counted = pairs.groupBy("seller_id").agg(F.count(F.lit(1)).alias("_orders"))
+    return counted.filter(F.col("_orders") > hot_rows).select(
         F.col("seller_id").alias("_hot_seller"), F.lit(True).alias("_hot")
     )
 
 
+def _with_outcome(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """Adds purchase time and outcome; pairs of unknown orders are left out."""
+    outcome = orders.select("order_id", "order_purchase_timestamp", "delivery_delay_days", "is_late")
+    return _measured(pairs.join(outcome, "order_id", "inner"))
+
+
 def _measured(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns(
         {
@@ -68,11 +73,12 @@ def _keyed(pairs: DataFrame, block: Column) -> DataFrame:
 
 
 def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_SELLER_ROWS) -> DataFrame:
-    # The broadcast side is bounded by (all items / hot_rows) two-column rows, whatever the data.
-    hot = F.broadcast(hot_sellers(items, hot_rows))
+    sold = order_sellers(items)
+    # Bounded for a broadcast: a million rows of two columns per 10^12 pairs at the default.
+    hot = F.broadcast(hot_sellers(sold, hot_rows))
     same_seller = F.col("seller_id").eqNullSafe(F.col("_hot_seller"))
 
-    pairs = _measured(order_seller_pairs(items, orders)).join(hot, same_seller, "left")
+    pairs = _with_outcome(sold, orders).join(hot, same_seller, "left")
     blocked = _keyed(pairs, F.when(F.col("_hot"), _minute_block(pairs)).otherwise(F.lit(0)))
     earlier = (
         Window.partitionBy(*_KEY)
@@ -87,10 +93,9 @@ def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(m) for m in _MEASURES],
     )
 
-    # Only hot sellers have earlier blocks; a seller has at most one summary row per minute. The
-    # filter sits below the deduplication, so nothing is shuffled here when no seller is hot.
-    hot_items = items.join(hot, same_seller, "left_semi")
-    hot_pairs = _measured(order_seller_pairs(hot_items, orders))
+    # Only hot sellers have earlier blocks; a seller has at most one summary row per minute. Pairs
+    # and orders come from the exchanges above, and with no hot seller this side is empty at once.
+    hot_pairs = _with_outcome(sold.join(hot, same_seller, "left_semi"), orders)
     before = Window.partitionBy(*_KEY[:-1]).orderBy(_KEY[-1]).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         _keyed(hot_pairs, _minute_block(hot_pairs))

@@ -30,12 +30,42 @@ def schema_report(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
     return spark.createDataFrame(rows, "dataset string, position int, column string, dtype string")
 
 
+def _counted_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, present, n)``: one row per distinct value, counted before it is shuffled.
+
+    Values keep a native type: whole numbers, fractions and text each have a column of their own.
+    """
+
+    def entry(number: int, name: str) -> Column:
+        kind = df.schema[name].dataType.typeName()
+        column = F.col(name)
+        if kind in ("byte", "short", "integer", "long", "boolean"):
+            value = "whole", column.cast("bigint")
+        elif kind.startswith("timestamp"):
+            value = "whole", F.unix_micros(column.cast("timestamp"))
+        elif kind in ("float", "double"):
+            value = "fraction", column.cast("double")
+        else:
+            value = "text", column.cast("string")
+        empty = {"whole": F.lit(None).cast("bigint"), "fraction": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+        fields = empty | {value[0]: value[1]}
+        return F.struct(F.lit(number).alias("number"), *[c.alias(k) for k, c in fields.items()])
+
+    pairs = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)])))
+    counted = pairs.groupBy("number", "whole", "fraction", "text").agg(F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return counted.select(
+        names[F.col("number")].alias("column"),
+        (F.col("whole").isNotNull() | F.col("fraction").isNotNull() | F.col("text").isNotNull()).alias("present"),
+        "n",
+    )
+
+
 def column_metadata(df: DataFrame, dataset: str, approximate: bool = False) -> DataFrame:
     """Per column: type, missing count and percentage, number of distinct values.
 
-    Exact counts come from (column, value) pairs that are counted before they are shuffled, one pass
-    for all columns. ``approximate`` replaces them by a fixed-size sketch per column: no shuffle of
-    values at all, for tables where an estimate will do.
+    Exact counts come from one pass for all columns. ``approximate`` replaces them by a fixed-size
+    sketch per column: no values are shuffled at all, for tables where an estimate will do.
     """
     rows = F.count(F.lit(1))
     if approximate:
@@ -54,17 +84,15 @@ def column_metadata(df: DataFrame, dataset: str, approximate: bool = False) -> D
         )
         found = wide.select(F.inline("_columns"))
     else:
-        pairs = df.select(
-            F.inline(
-                F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])
+        found = (
+            _counted_values(df, df.columns)
+            .groupBy("column")
+            .agg(
+                F.sum("n").alias("rows"),
+                F.coalesce(F.sum(F.when(~F.col("present"), F.col("n"))), F.lit(0)).alias("missing_count"),
+                F.count_if("present").alias("unique_count"),
             )
         )
-        counted = pairs.groupBy("column", "value").agg(rows.alias("n"))
-        found = counted.groupBy("column").agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing_count"),
-            F.count("value").alias("unique_count"),
-        )
     types = F.create_map(*[F.lit(text) for pair in df.dtypes for text in pair])
     return found.select(
         F.lit(dataset).alias("dataset"),
@@ -122,21 +150,14 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def key_cardinality(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """Rows against distinct values of key columns: ``{table: (df, keys)}``.
-
-    Values are counted per (column, value) before the shuffle, like ``column_metadata``.
-    """
-    parts = []
-    for name, (df, keys) in tables.items():
-        pairs = df.select(
-            F.inline(F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).cast("string").alias("value")) for k in keys]))
-        )
-        counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            counted.groupBy("column")
-            .agg(F.sum("n").alias("rows"), F.count("value").alias("distinct_values"))
-            .select(F.lit(name).alias("dataset"), "column", "rows", "distinct_values")
-        )
+    """Rows against distinct values of key columns: ``{table: (df, keys)}``."""
+    parts = [
+        _counted_values(df, keys)
+        .groupBy("column")
+        .agg(F.sum("n").alias("rows"), F.count_if("present").alias("distinct_values"))
+        .select(F.lit(name).alias("dataset"), "column", "rows", "distinct_values")
+        for name, (df, keys) in tables.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
