@@ -5,15 +5,19 @@ that is still in transit counts as an order but has no outcome yet.
 
 A plain window over ``seller_id`` sends a seller's whole history to one task, which fails when one
 seller holds a large part of all rows. Sellers above ``hot_rows`` orders are therefore cut into
-one-minute blocks: the window runs inside (seller, block), and the totals of all earlier blocks are
-added from a per-block summary that the shuffle has already combined. Other sellers form a single
-block, so without hot sellers the work is the plain window plus a count per seller.
+blocks along the same order: one per purchase time, and each of those into ranges of order ids. The
+window runs inside a block, and the totals of all earlier blocks are added from summaries: blocks
+within their minute, minutes within the seller. The summaries are combined before they are shuffled.
+
+All other sellers are one block each, so without hot sellers the work is the plain window plus a
+count per seller.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.functions.columns import minute_number
 
@@ -22,8 +26,9 @@ HOT_SELLER_ROWS = 1_000_000
 # Totals that a history is made of: orders, known outcomes, late ones, known delays, summed delay.
 _MEASURES = ["n_orders", "n_outcomes", "n_late", "n_delays", "sum_delay"]
 # The seller as a key that is never NULL, then the block: the same key serves window and join.
-_KEY = ["_seller", "_unnamed", "_block"]
-_UNKNOWN_TIME = -(2**62)
+_SELLER = ["_seller", "_unnamed"]
+_BLOCK = ["_time", "_range"]
+_TIME = "order_purchase_timestamp"
 
 
 def order_sellers(items: DataFrame) -> DataFrame:
@@ -31,22 +36,36 @@ def order_sellers(items: DataFrame) -> DataFrame:
     return items.filter(F.col("order_id").isNotNull()).select("order_id", "seller_id").distinct()
 
 
+def _id_number(df: DataFrame) -> Column:
+    """A whole number that never decreases as the order id grows: for text, its first seven bytes."""
+    if isinstance(df.schema["order_id"].dataType, T.StringType):
+        head = F.rpad(F.substring(F.hex("order_id"), 1, 14), 14, "0")
+        return F.conv(head, 16, 10).cast("bigint")
+    return F.col("order_id").cast("bigint")
+
+
 def hot_sellers(pairs: DataFrame, hot_rows: int) -> DataFrame:
-    """Sellers with more than ``hot_rows`` orders: at most (all pairs / hot_rows) rows."""
-    counted = pairs.groupBy("seller_id").agg(F.count(F.lit(1)).alias("_orders"))
+    """Sellers with more than ``hot_rows`` orders, the extent of their order ids, and their ranges.
+
+    At most (all pairs / hot_rows) rows.
+    """
+    number = _id_number(pairs)
+    counted = pairs.groupBy("seller_id").agg(
+        F.count(F.lit(1)).alias("_orders"), F.min(number).alias("_lowest"), F.max(number).alias("_highest")
+    )
     return counted.filter(F.col("_orders") > hot_rows).select(
-        F.col("seller_id").alias("_hot_seller"), F.lit(True).alias("_hot")
+        F.col("seller_id").alias("_hot_seller"),
+        F.lit(True).alias("_hot"),
+        F.col("_lowest").cast("double").alias("_lowest"),
+        (F.col("_highest").cast("double") - F.col("_lowest") + 1).alias("_extent"),
+        F.ceil(F.col("_orders") / F.lit(max(hot_rows, 1))).alias("_ranges"),
     )
 
 
 def _with_outcome(pairs: DataFrame, orders: DataFrame) -> DataFrame:
-    """Adds purchase time and outcome; pairs of unknown orders are left out."""
-    outcome = orders.select("order_id", "order_purchase_timestamp", "delivery_delay_days", "is_late")
-    return _measured(pairs.join(outcome, "order_id", "inner"))
-
-
-def _measured(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns(
+    """Adds purchase time and the measures of one order; pairs of unknown orders are left out."""
+    outcome = orders.select("order_id", _TIME, "delivery_delay_days", "is_late")
+    return pairs.join(outcome, "order_id", "inner").withColumns(
         {
             "n_orders": F.lit(1).cast("bigint"),
             "n_outcomes": F.col("is_late").isNotNull().cast("bigint"),
@@ -57,54 +76,65 @@ def _measured(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _minute_block(pairs: DataFrame) -> Column:
-    return F.coalesce(minute_number(pairs, "order_purchase_timestamp"), F.lit(_UNKNOWN_TIME))
-
-
-def _keyed(pairs: DataFrame, block: Column) -> DataFrame:
-    placeholder = F.lit(0).cast(pairs.schema["seller_id"].dataType)
+def _in_blocks(pairs: DataFrame) -> DataFrame:
+    """Adds the seller key and the block. Blocks of a seller follow each other in history order."""
+    no_seller = F.lit(0).cast(pairs.schema["seller_id"].dataType)
+    first_time = F.lit("0001-01-01 00:00:00").cast(pairs.schema[_TIME].dataType)
+    place = F.floor((_id_number(pairs) - F.col("_lowest")) / F.col("_extent") * F.col("_ranges"))
     return pairs.withColumns(
         {
-            "_seller": F.coalesce(F.col("seller_id"), placeholder),
+            "_seller": F.coalesce(F.col("seller_id"), no_seller),
             "_unnamed": F.col("seller_id").isNull(),
-            "_block": block,
+            "_time": F.coalesce(F.when(F.col("_hot"), F.col(_TIME)), first_time),
+            "_range": F.when(F.col("_hot"), place).otherwise(F.lit(0)),
         }
     )
 
 
+def _sums_before(window, prefix: str) -> list[Column]:
+    return [F.coalesce(F.sum(m).over(window), F.lit(0)).alias(f"{prefix}{m}") for m in _MEASURES]
+
+
+def _earlier(partition: list[str], order: list[str]):
+    return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _earlier_blocks(pairs: DataFrame) -> DataFrame:
+    """Totals of all earlier blocks of the seller, per block."""
+    sums = [F.sum(m).alias(m) for m in _MEASURES]
+    blocks = pairs.groupBy(*_SELLER, *_BLOCK).agg(*sums)
+    blocks = blocks.withColumn("_minute", minute_number(blocks, "_time"))
+    minutes = blocks.groupBy(*_SELLER, "_minute").agg(*sums)
+    # A minute has few blocks, and a seller at most one row per minute.
+    in_minute = blocks.select(
+        *_SELLER, *_BLOCK, "_minute", *_sums_before(_earlier([*_SELLER, "_minute"], _BLOCK), "near_")
+    )
+    in_seller = minutes.select(*_SELLER, "_minute", *_sums_before(_earlier(_SELLER, ["_minute"]), "far_"))
+    return in_minute.join(in_seller, [*_SELLER, "_minute"]).select(
+        *_SELLER, *_BLOCK, *[(F.col(f"near_{m}") + F.col(f"far_{m}")).alias(f"before_{m}") for m in _MEASURES]
+    )
+
+
 def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_SELLER_ROWS) -> DataFrame:
     sold = order_sellers(items)
-    # Bounded for a broadcast: a million rows of two columns per 10^12 pairs at the default.
+    # Bounded for a broadcast: a million short rows per 10^12 pairs at the default.
     hot = F.broadcast(hot_sellers(sold, hot_rows))
     same_seller = F.col("seller_id").eqNullSafe(F.col("_hot_seller"))
 
-    pairs = _with_outcome(sold, orders).join(hot, same_seller, "left")
-    blocked = _keyed(pairs, F.when(F.col("_hot"), _minute_block(pairs)).otherwise(F.lit(0)))
-    earlier = (
-        Window.partitionBy(*_KEY)
-        .orderBy("order_purchase_timestamp", "order_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = blocked.select(
+    pairs = _in_blocks(_with_outcome(sold, orders).join(hot, same_seller, "left"))
+    inside = pairs.select(
         "order_id",
         "seller_id",
-        "order_purchase_timestamp",
-        *_KEY,
-        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(m) for m in _MEASURES],
+        _TIME,
+        *_SELLER,
+        *_BLOCK,
+        *_sums_before(_earlier([*_SELLER, *_BLOCK], [_TIME, "order_id"]), ""),
     )
 
-    # Only hot sellers have earlier blocks; a seller has at most one summary row per minute. Pairs
-    # and orders come from the exchanges above, and with no hot seller this side is empty at once.
-    hot_pairs = _with_outcome(sold.join(hot, same_seller, "left_semi"), orders)
-    before = Window.partitionBy(*_KEY[:-1]).orderBy(_KEY[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        _keyed(hot_pairs, _minute_block(hot_pairs))
-        .groupBy(*_KEY)
-        .agg(*[F.sum(m).alias(m) for m in _MEASURES])
-        .select(*_KEY, *[F.sum(m).over(before).alias(f"before_{m}") for m in _MEASURES])
-    )
-    # Both sides are already hashed by the key, so the long side is not shuffled again.
-    joined = inside.join(carried, _KEY, "left")
+    # Only hot sellers have earlier blocks; with none of them this side is empty at once.
+    hot_pairs = _in_blocks(_with_outcome(sold.join(hot, same_seller), orders))
+    # Both sides are hashed by seller and block, so the long side is not shuffled again.
+    joined = inside.join(_earlier_blocks(hot_pairs), [*_SELLER, *_BLOCK], "left")
 
     def total(measure: str) -> Column:
         return F.col(measure) + F.coalesce(F.col(f"before_{measure}"), F.lit(0))
@@ -114,7 +144,7 @@ def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_
     return joined.select(
         "order_id",
         "seller_id",
-        "order_purchase_timestamp",
+        _TIME,
         orders_before.alias("seller_order_count"),
         late_before.alias("seller_late_order_count"),
         F.round(F.try_divide(late_before, orders_before), 4).alias("seller_late_rate"),

@@ -47,7 +47,8 @@ def _counted_values(df: DataFrame, columns: list[str]) -> DataFrame:
             value = "fraction", column.cast("double")
         else:
             value = "text", column.cast("string")
-        empty = {"whole": F.lit(None).cast("bigint"), "fraction": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+        types = {"whole": "bigint", "fraction": "double", "text": "string"}
+        empty = {name: F.lit(None).cast(kind) for name, kind in types.items()}
         fields = empty | {value[0]: value[1]}
         return F.struct(F.lit(number).alias("number"), *[c.alias(k) for k, c in fields.items()])
 

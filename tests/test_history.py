@@ -70,6 +70,27 @@ def test_matches_brute_force_with_and_without_splitting_hot_sellers(spark, seed,
     assert measured(tables.seller_performance) == brute_force(orders, items)
 
 
+def test_a_hot_seller_with_one_purchase_time_is_still_cut_into_ranges(spark):
+    rng = random.Random(9)
+    ids = [f"{rng.getrandbits(64):016x}" for _ in range(200)]
+    orders = [order(i, delay=rng.choice([None, -1, 2])) for i in ids[:150]]
+    orders += [order(i, delay=1)[:3] + (None,) + order(i, delay=1)[4:] for i in ids[150:]]  # no purchase time
+    items = [item(i, "hot") for i in ids] + [item(i, None) for i in ids[:40]]
+    got = measured(star(spark, orders, items, 25).seller_performance)
+    epoch = [o[:3] + (o[3] or START - timedelta(days=9999),) + o[4:] for o in orders]  # unknown times come first
+    assert got == brute_force(epoch, items)
+
+
+def test_numeric_order_ids_are_cut_too(spark, tiny):
+    from ordermill.operators.history import seller_performance
+    from ordermill.plans.warehouse import Warehouse
+    from ordermill.sources.standin import raw_table
+
+    tables = Warehouse.from_raw(lambda name: raw_table(spark, tiny, name))
+    plain = measured(tables.seller_performance)
+    assert measured(seller_performance(tables.fact_order_items, tables.fact_orders, hot_rows=100)) == plain
+
+
 def test_first_order_unknown_outcomes_and_ties(spark):
     orders = [
         order("t1", delay=1), order("t2", delay=None), order("t3", day=1, delay=0),  # t1 and t2 tie
