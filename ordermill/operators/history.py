@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ordermill.functions.columns import minute_number
 
-HOT_SELLER_ROWS = 1_000_000
+HOT_SELLER_ROWS = 10_000_000
 
 # Totals that a history is made of: orders, known outcomes, late ones, known delays, summed delay.
 _MEASURES = ["n_orders", "n_outcomes", "n_late", "n_delays", "sum_delay"]
@@ -117,7 +117,7 @@ def _earlier_blocks(pairs: DataFrame) -> DataFrame:
 
 def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_SELLER_ROWS) -> DataFrame:
     sold = order_sellers(items)
-    # Bounded for a broadcast: a million short rows per 10^12 pairs at the default.
+    # Bounded for a broadcast: at the default, 100,000 short rows per 10^12 pairs.
     hot = F.broadcast(hot_sellers(sold, hot_rows))
     same_seller = F.col("seller_id").eqNullSafe(F.col("_hot_seller"))
 
