@@ -44,7 +44,7 @@ _BODIES: dict[str, str] = {
               FROM features JOIN dim_customers USING (customer_id) GROUP BY 1)
         GROUP BY 1 ORDER BY 1""",
     "monthly_customer_activity": """
-        SELECT date_trunc('month', order_purchase_timestamp)::DATE AS month,
+        SELECT date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month,
                count(DISTINCT customer_unique_id) AS active_customers, count(DISTINCT f.order_id) AS orders,
                sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS revenue
         FROM features f JOIN fact_orders o ON f.order_id = o.order_id
@@ -61,7 +61,7 @@ _BODIES: dict[str, str] = {
                    AS late_delivery_rate
         FROM fact_orders f JOIN features d ON f.order_id = d.order_id""",
     "delivery_performance_by_month": """
-        SELECT date_trunc('month', order_purchase_timestamp)::DATE AS month, count(DISTINCT order_id) AS orders,
+        SELECT date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month, count(DISTINCT order_id) AS orders,
                round(avg(delivery_duration_days), 2) AS avg_delivery_days,
                round(avg(CASE WHEN delivery_delay_days > 0 THEN delivery_delay_days ELSE 0 END), 2) AS avg_delay_days,
                round(avg(is_late) * 100, 2) AS late_rate_percentage
@@ -123,7 +123,7 @@ _BODIES: dict[str, str] = {
                round(avg(review_score), 2) AS average_review_score
         FROM fact_reviews JOIN fact_orders USING (order_id) GROUP BY 1 ORDER BY 1""",
     "review_score_by_month": """
-        SELECT date_trunc('month', review_creation_date)::DATE AS month, count(*) AS reviews,
+        SELECT date_trunc('month', review_creation_date)::TIMESTAMP AS month, count(*) AS reviews,
                round(avg(review_score), 2) AS average_review_score
         FROM fact_reviews GROUP BY 1 ORDER BY 1""",
     # --- sales KPIs ---
@@ -135,7 +135,7 @@ _BODIES: dict[str, str] = {
                round(max(order_total_price), 2) AS maximum_order_value
         FROM features""",
     "monthly_sales_performance": """
-        SELECT date_trunc('month', order_purchase_timestamp)::DATE AS month, count(DISTINCT f.order_id) AS orders,
+        SELECT date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month, count(DISTINCT f.order_id) AS orders,
                sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS revenue,
                round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
                    AS average_order_value

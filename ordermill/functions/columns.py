@@ -44,8 +44,8 @@ def fractional_days(end: str, start: str) -> Column:
 
 
 def month_of(name: str) -> Column:
-    """First day of the month, as a date (independent of the session time zone)."""
-    return F.trunc(F.col(name).cast("date"), "month")
+    """Start of the month, as a timestamp that no session time zone can shift."""
+    return F.trunc(F.col(name).cast("date"), "month").cast("timestamp_ntz")
 
 
 def minute_number(df: DataFrame, name: str) -> Column:

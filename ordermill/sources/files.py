@@ -69,8 +69,9 @@ def register_views(spark: SparkSession, layer_dir: str, names: Iterable[str]) ->
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """CSV sink for report results, which are few rows: one file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV sink for report results, which are few rows: one file with a header, months as dates."""
+    writer = df.coalesce(1).write.mode("overwrite").option("header", True)
+    writer.option("timestampNTZFormat", "yyyy-MM-dd").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -78,5 +79,5 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    """Lines of a raw scan that did not fit the schema."""
+    """Lines that did not fit the schema, of a bronze table (or a cached raw scan)."""
     return df.filter(F.col(CORRUPT).isNotNull())

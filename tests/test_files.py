@@ -6,7 +6,7 @@ import pytest
 
 from ordermill.catalog import QUERIES
 from ordermill.operators.quality import DataQualityError
-from ordermill.plans.pipeline import run
+from ordermill.plans.layers import run
 from ordermill.plans.runner import ReportError, run_reports
 from ordermill.plans.warehouse import GOLD_TABLES, StoredWarehouse
 from ordermill.sources import files
@@ -106,6 +106,8 @@ def test_whole_run_from_csv_to_reports(spark, raw, tmp_path):
         "total_orders": "3", "total_revenue": "52.0", "average_order_value": "17.33",
         "minimum_order_value": "10.5", "maximum_order_value": "30.5",
     }
+    months = spark.read.option("header", True).csv(f"{out}/reports/sales/monthly_sales_performance")
+    assert [r["month"] for r in dicts(months)] == ["2018-01-01", "2018-02-01"]
     files.register_views(spark, f"{out}/gold", ["fact_orders"])
     assert spark.sql("SELECT count(*) FROM fact_orders WHERE is_late = 1").first()[0] == 1
 

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import datetime
 from types import SimpleNamespace
 
 from ordermill.plans.kpis import customers, delivery, products, reviews, sales, sellers
@@ -37,7 +37,7 @@ def test_customer_segments(spark):
         {"customer_state": "RJ", "customers": 1, "orders": 6, "revenue": 15.0, "average_order_value": 2.5},
     ]
     assert dicts(customers.monthly_customer_activity(tables)) == [
-        {"month": date(2018, 1, 1), "active_customers": 6, "orders": 21, "revenue": 52.5}
+        {"month": datetime(2018, 1, 1), "active_customers": 6, "orders": 21, "revenue": 52.5}
     ]
 
 
