@@ -181,6 +181,8 @@ _BODIES: dict[str, str] = {
         SELECT coalesce(order_delivered_customer_date > order_estimated_delivery_date, FALSE) AS is_late,
                count(*) AS rows, round(count(*) * 100::DOUBLE / sum(count(*)) OVER (), 6) AS percentage
         FROM raw_orders GROUP BY 1 ORDER BY rows DESC, is_late""",
+    "seller_history_preview": """
+        SELECT * FROM seller_perf ORDER BY seller_id, order_purchase_timestamp, order_id LIMIT 20""",
     "order_status_counts": "SELECT order_status, count(*) AS rows FROM clean_orders GROUP BY 1",
     "order_late_counts": "SELECT is_late, count(*) AS rows FROM clean_orders GROUP BY 1",
     "payment_type_counts": "SELECT payment_type, count(*) AS rows FROM payments GROUP BY 1",

@@ -146,6 +146,9 @@ PROFILES: dict[str, Callable[[_Source], DataFrame]] = {
         ["mean", "std"],
     ),
     "seller_ranking_full_history": lambda s: profile.seller_ranking(s.raw("order_items"), s.raw("orders")),
+    "seller_history_preview": lambda s: profile.preview(
+        s.warehouse.seller_performance, ["seller_id", "order_purchase_timestamp", "order_id"]
+    ),
     "order_status_counts": lambda s: profile.value_counts(s.warehouse.silver("orders"), "order_status"),
     "order_late_counts": lambda s: profile.value_counts(s.warehouse.silver("orders"), "is_late"),
     "payment_type_counts": lambda s: profile.value_counts(s.warehouse.silver("order_payments"), "payment_type"),

@@ -132,6 +132,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def preview(df: DataFrame, order_by: list[str], rows: int = 20) -> DataFrame:
+    """The first rows in the given order: a top-k, not a sort of the table."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order_by]).limit(rows)
+
+
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Smallest, largest and mean value per column, in one pass."""
     wide = df.agg(

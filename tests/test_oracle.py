@@ -52,7 +52,7 @@ def test_no_cross_joins_and_no_python(spark, tiny, name):
 @pytest.mark.parametrize(
     "name",
     ["top_products_by_revenue", "top_sellers_by_orders", "worst_sellers_by_late_rate", "late_deliveries_by_seller",
-     "seller_ranking_full_history"],
+     "seller_ranking_full_history", "seller_history_preview"],
 )
 def test_top_k_is_not_a_full_sort(spark, tiny, name):
     assert "TakeOrderedAndProject" in physical_plan(spark, tiny, name)

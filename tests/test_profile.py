@@ -47,6 +47,12 @@ def test_duplicates_and_overview(mixed):
     ]
 
 
+def test_repeated_keys(mixed):
+    from ordermill.operators.dedup import repeated_keys
+
+    assert {(r["n"], r["count"]) for r in dicts(repeated_keys(mixed, ["n"]))} == {(1, 2), (3, 2)}
+
+
 def test_schema_report(spark, mixed):
     rows = dicts(profile.schema_report(spark, {"m": mixed}))
     assert [(r["position"], r["column"], r["dtype"]) for r in rows][:2] == [(0, "n", "int"), (1, "s", "string")]
