@@ -82,7 +82,8 @@ def _missing(df: DataFrame, columns: Iterable[str]) -> list[str]:
 
 def _repeated_keys(df: DataFrame, r: Rule) -> DataFrame:
     keys = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_rows"))
-    return keys.agg(F.count_if(F.col("_rows") > 1).alias("violations")).select(F.lit(r.name).alias("check"), "violations")
+    repeated = keys.agg(F.count_if(F.col("_rows") > 1).alias("violations"))
+    return repeated.select(F.lit(r.name).alias("check"), "violations")
 
 
 def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:

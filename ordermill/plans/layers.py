@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.operators.quality import enforce
-from ordermill.operators.suites import GOLD_SUITES, SILVER_SUITES, check_gold, check_silver
+from ordermill.operators.suites import GOLD_SUITES, check_gold, check_silver
 from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, StoredWarehouse, Warehouse
 from ordermill.sources.files import CORRUPT, ingest, read_table, write_table
 
@@ -17,7 +17,7 @@ def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, tables:
     for name in tables:
         raw = read_table(spark, f"{bronze_dir}/{name}")
         write_table(CLEANERS[name](raw.drop(CORRUPT)), f"{silver_dir}/{name}")
-    reports = [check_silver(read_table(spark, f"{silver_dir}/{name}"), name) for name in tables if name in SILVER_SUITES]
+    reports = [check_silver(read_table(spark, f"{silver_dir}/{name}"), name) for name in tables]
     return reduce(DataFrame.unionByName, reports)
 
 
