@@ -189,10 +189,10 @@ _BODIES: dict[str, str] = {
     "review_score_counts": "SELECT review_score, count(*) AS rows FROM reviews GROUP BY 1",
     "item_value_summary": """
         SELECT 'price' AS column, min(price) AS min_value, max(price) AS max_value,
-               round(sum(price::DECIMAL(18, 2))::DOUBLE / count(price), 6) AS avg_value FROM items
+               round(sum(price::DECIMAL(18, 2))::DOUBLE / count(price), 4) AS avg_value FROM items
         UNION ALL
         SELECT 'freight_value', min(freight_value), max(freight_value),
-               round(sum(freight_value::DECIMAL(18, 2))::DOUBLE / count(freight_value), 6) FROM items""",
+               round(sum(freight_value::DECIMAL(18, 2))::DOUBLE / count(freight_value), 4) FROM items""",
     "delay_days": """
         SELECT order_id, (epoch_us(order_delivered_customer_date) - epoch_us(order_estimated_delivery_date))
                          / 86400000000 AS delivery_delay_days,
@@ -498,10 +498,10 @@ _BODIES["key_cardinality"] = " UNION ALL ".join(
 )
 
 
-def _described(column: str, value: str) -> str:
+def _described(column: str, value: str, places: int = 6) -> str:
     return (
-        f"SELECT '{column}' AS \"column\", count(v) AS count, round(avg(v), 6) AS mean, "
-        f"round(stddev_samp(v), 6) AS std, min(v) AS min, quantile_cont(v, 0.25) AS p25, "
+        f"SELECT '{column}' AS \"column\", count(v) AS count, round(avg(v), {places}) AS mean, "
+        f"round(stddev_samp(v), {places}) AS std, min(v) AS min, quantile_cont(v, 0.25) AS p25, "
         f"quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, max(v) AS max "
         f"FROM (SELECT {value} AS v FROM raw_orders)"
     )
@@ -512,7 +512,7 @@ _BODIES["delay_describe"] = _described(
     "(epoch_us(order_delivered_customer_date) - epoch_us(order_estimated_delivery_date)) / 86400000000",
 )
 _BODIES["timeline_describe"] = " UNION ALL ".join(
-    _described(c, f"epoch_us({c}) / 1000000")
+    _described(c, f"epoch_us({c}) / 1000000", 2)
     for c in (
         "order_purchase_timestamp",
         "order_approved_at",

@@ -39,9 +39,9 @@ def _on(build: Callable[[_Source], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_Source(spark, sf_dir))
 
 
-def _rounded(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Means of doubles depend on summation order in the last digits; six places do not."""
-    return df.withColumns({c: report_round(df[c], 6) for c in columns})
+def _rounded(df: DataFrame, columns: list[str], places: int = 6) -> DataFrame:
+    """Means of doubles depend on summation order from about the 14th digit on; cut well before."""
+    return df.withColumns({c: report_round(df[c], places) for c in columns})
 
 
 _CLEAN = {
@@ -144,6 +144,7 @@ PROFILES: dict[str, Callable[[_Source], DataFrame]] = {
             ],
         ),
         ["mean", "std"],
+        places=2,  # seconds since the epoch have nine digits before the point
     ),
     "seller_ranking_full_history": lambda s: profile.seller_ranking(s.raw("order_items"), s.raw("orders")),
     "seller_history_preview": lambda s: profile.preview(
@@ -154,7 +155,7 @@ PROFILES: dict[str, Callable[[_Source], DataFrame]] = {
     "payment_type_counts": lambda s: profile.value_counts(s.warehouse.silver("order_payments"), "payment_type"),
     "review_score_counts": lambda s: profile.value_counts(s.warehouse.silver("order_reviews"), "review_score"),
     "item_value_summary": lambda s: _rounded(
-        profile.numeric_summary(s.warehouse.silver("order_items"), ["price", "freight_value"]), ["avg_value"]
+        profile.numeric_summary(s.warehouse.silver("order_items"), ["price", "freight_value"]), ["avg_value"], places=4
     ),
 }
 
