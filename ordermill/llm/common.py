@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ordermill.session import cut_lineage
 
@@ -42,7 +44,7 @@ def map_texts(texts: DataFrame, start: Callable[[], Callable[[list[str]], list[t
     """
     kept = [c for c in texts.columns if c != "text"]
     schema = texts.select(*kept).schema.simpleString()[len("struct<") : -1].replace(":", " ") + ", " + fields
-    names = [f.strip().split(" ")[0] for f in fields.split(",")]
+    added = to_arrow_schema(StructType.fromDDL(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
@@ -50,8 +52,8 @@ def map_texts(texts: DataFrame, start: Callable[[], Callable[[list[str]], list[t
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 found = work(part.column("text").to_pylist())
-                columns = [part.column(c) for c in kept] + [pa.array(v) for v in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=kept + names)
+                values = [pa.array(v, t) for v, t in zip(zip(*found, strict=True), added.types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *values], names=kept + added.names)
 
     return texts.select(*kept, "text").mapInArrow(run, schema)
 
