@@ -34,7 +34,9 @@ class PrefixEncoder:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._tails = {token[i:] for token in ranks for i in range(len(token))}
+        self._width = {rank: len(token) for token, rank in ranks.items()}
+        # Every end of a token: its own rank if it is a token as well, or -1.
+        self._tails = {end: ranks.get(end, -1) for token in ranks for end in (token[i:] for i in range(len(token)))}
         self._stands: dict[int, bool] = {}
         self._fits: dict[tuple[int, int], bool] = {}
 
@@ -70,19 +72,20 @@ class PrefixEncoder:
 
     def extend(self, piece: bytes, last: list[int], upto: int | None = None) -> None:
         """Fills ``last``, the last token of each prefix, up to ``upto`` bytes of ``piece``."""
-        ranks, fits, tails = self.ranks, self._fits, self._tails
+        fits, tails, width = self._fits, self._tails, self._width
         for end in range(len(last) + 1, (len(piece) if upto is None else upto) + 1):
             # Ends of tokens are looked up from the shortest on, until no token ends like this.
             start, found = end - 1, []
             while start >= 0:
-                tail = piece[start:end]
-                token = ranks.get(tail)
-                if token is not None:
-                    found.append((start, token))
-                elif tail not in tails:
+                token = tails.get(piece[start:end])
+                if token is None:
                     break
+                if token >= 0:
+                    found.append(token)
                 start -= 1
-            for start, token in reversed(found):
+            while found:
+                token = found.pop()
+                start = end - width[token]
                 if start:
                     before = last[start - 1]
                     known = fits.get((before, token))
@@ -201,7 +204,7 @@ def encoding_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         def prepared(parts: list[str]) -> list[tuple]:
             return [(" ".join(map(str, ids)).encode(), len(ids), encoder.decode(ids)) for ids in encode(parts)]
 
-        cache = UnitCache(prepared, most=250_000)
+        cache = UnitCache(prepared, most=900_000)
 
         def digests(found: list[tuple]) -> tuple:
             raw = b"".join([f[2] for f in found])

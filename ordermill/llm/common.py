@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ordermill.session import cut_lineage
+from ordermill.session import cut_lineage, ensure_checkpoint_dir
 
-#: Rows of a text batch that are turned into Python objects at a time.
-SLICE_ROWS = 512
+#: Bytes of a text batch that are turned into Python objects at a time, but one text at least.
+SLICE_BYTES = 4 << 20
 
 _UNIT = re.compile(r"\s*\S+|\s+")
 # White space to Python, but not to the tokenizers' pattern.
@@ -31,11 +34,32 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read again."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def whole_texts(docs: DataFrame, *others: str) -> DataFrame:
     """``doc_id``, ``text`` (null becomes empty) and ``others``; further columns are left behind."""
     return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
 
 
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` with about ``most`` bytes of ``text`` each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_texts(texts: DataFrame, start: Callable[[], Callable[[list[str]], list[tuple]]], fields: str) -> DataFrame:
     """One output row per row of ``texts``: its other columns, and ``fields`` computed from its text.
 
@@ -49,8 +73,7 @@ def map_texts(texts: DataFrame, start: Callable[[], Callable[[list[str]], list[t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 found = work(part.column("text").to_pylist())
                 values = [pa.array(v, t) for v, t in zip(zip(*found, strict=True), added.types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *values], names=kept + added.names)
@@ -71,25 +94,32 @@ class UnitCache:
     """What ``encode`` makes of text units, remembered for units seen before in this task.
 
     ``encode`` gets a sorted list of distinct units and returns a list of values. At most ``most`` short
-    units are remembered; then the memory is emptied and filled anew, so results don't depend on it.
+    units are remembered: half of them from before the last change of generation, and of those only
+    the ones met again pass on. Results don't depend on what is remembered.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 300_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 600_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
         self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
 
     def values(self, texts: list[str]) -> list[list]:
         """For each text the values of its units, in order. Unknown units of all texts go to ``encode`` at once."""
         parts = [units(t) for t in texts]
-        known = self.known
-        missing = sorted({u for p in parts for u in p if u not in known})
-        fresh = dict(zip(missing, self.encode(missing), strict=True)) if missing else {}
-        if len(known) + len(fresh) > self.most:
-            fresh |= {u: known[u] for p in parts for u in p if u in known}
-            known.clear()
-        known.update((u, v) for u, v in fresh.items() if len(u) <= self.longest)
-        both = known if all(len(u) <= self.longest for u in missing) else known | fresh
-        return [[both[u] for u in p] for p in parts]
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = {u for p in parts for u in p if u not in known}
+        known.update((u, older[u]) for u in missing if u in older)
+        missing = sorted(u for u in missing if u not in known)
+        if not missing:
+            return [[known[u] for u in p] for p in parts]
+        known.update(zip(missing, self.encode(missing), strict=True))
+        values = [[known[u] for u in p] for p in parts]
+        for u in missing:
+            if len(u) > self.longest:
+                del known[u]
+        return values
 
 
 def environment_for_tokenizers() -> None:

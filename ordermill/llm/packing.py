@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import SLICE_ROWS, UnitCache, environment_for_tokenizers, stored, whole_texts
+from ordermill.llm.common import UnitCache, environment_for_tokenizers, slices, stored, whole_texts
 
 
 def joined_encoder(tokenizer_path: str):
@@ -84,8 +84,7 @@ def _pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, wi
         tail = np.array([end_id], "<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 of, rows = [], []
                 for i, found in enumerate(cache.values(part.column("text").to_pylist())):
                     raw = b"".join([*found, tail])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, packing, simhash, suffix
+from ordermill.llm import bpe, langid, packing, simhash, suffix
 from ordermill.llm.common import table
 
 
@@ -21,8 +21,11 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array": op2_suffix_array,
     "op5_simhash": op5_simhash,
+    "op7_language_id": op7_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 

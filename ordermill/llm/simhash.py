@@ -213,27 +213,41 @@ def fingerprint_components(codes: DataFrame, most: int = 4096) -> DataFrame:
     return components(dealt.mapInArrow(_group_links, "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, *others: str, most: int = 4096) -> DataFrame:
-    """``doc_id``, ``others``, ``fingerprint``, ``component_id``, ``fp`` for every row of ``docs``.
-
-    ``component_id`` is the smallest ``doc_id`` that links of at most two differing bits reach. A null text
-    counts as empty; texts without a word have fingerprint zero and are linked like any other; a null
-    ``doc_id`` is in its component but never names it, unless there is no other. Repeated rows stay.
-    """
+def _in_components(docs: DataFrame, others: list[str], most: int) -> DataFrame:
+    """``doc_id``, ``others``, ``fp``, ``root`` (of the component), ``component_id`` for every row."""
     marked = stored(fingerprints(docs, *others))
     codes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = fingerprint_components(codes.select("fp"), most)
     rooted = codes.join(found, codes["fp"] == found["node"], "left")
     rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_code = rooted.join(named, "root").select("fp", "component_id")
+    by_code = rooted.join(named, "root").select("fp", "root", "component_id")
+    return marked.join(by_code, "fp").select("doc_id", *others, "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, most: int = 4096) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (hexadecimal), ``component_id`` for every row of ``docs``.
+
+    ``component_id`` is the smallest ``doc_id`` that links of at most two differing bits reach. A null text
+    counts as empty; texts without a word have fingerprint zero and are linked like any other; a null
+    ``doc_id`` is in its component but names it only if it has no other. Repeated rows stay; an empty table
+    gives no rows; other columns are ignored. ``most`` is the size from which groups are cut again.
+    """
     code = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return marked.join(by_code, "fp").select("doc_id", *others, code, "component_id", "fp")
+    return _in_components(docs, [], most).select("doc_id", code, "component_id")
+
 
+def one_of_each(docs: DataFrame, most: int = 4096) -> DataFrame:
+    """The rows of ``docs`` with one of each component: smallest ``doc_id``, then by the text's hash.
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component; of repeated ids the smallest text."""
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return rows
+    Rows that repeat with id and text are one document.
+    """
+    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = stored(_in_components(hashed, ["_hash"], most))
+    best = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_hash")).alias("b"))
+    best = best.select(F.col("b.doc_id").alias("best_id"), F.col("b._hash").alias("best_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("_hash") == F.col("best_hash"))
+    rows = hashed.join(best, same, "left_semi")
+    if not found.groupBy("doc_id", "_hash").count().filter("count > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "_hash"])
+    return rows.drop("_hash")
