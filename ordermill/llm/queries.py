@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, langid, packing, simhash, suffix
+from ordermill.llm import bpe, chat, langid, packing, simhash, suffix
 from ordermill.llm.common import table
 
 
@@ -20,6 +20,13 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal_report(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(conversations, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +42,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array": op2_suffix_array,
+    "op3_chat_format": op3_chat_format,
     "op5_simhash": op5_simhash,
     "op7_language_id": op7_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
