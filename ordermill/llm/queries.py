@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, chat, langid, packing, simhash, suffix
+from ordermill.llm import bpe, chat, langid, licenses, packing, simhash, suffix
 from ordermill.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
@@ -44,8 +48,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_array": op2_suffix_array,
     "op3_chat_format": op3_chat_format,
     "op5_simhash": op5_simhash,
+    "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_license_scan": licenses.oracle_sql(),
+}
