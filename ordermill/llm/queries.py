@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, chat, langid, licenses, packing, simhash, suffix
+from ordermill.llm import bpe, chat, langid, licenses, packing, shards, simhash, suffix
 from ordermill.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
+def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
+    "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
