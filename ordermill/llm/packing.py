@@ -11,47 +11,71 @@ sequence takes, so the plan is short. Pieces then take their places in it by len
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ordermill.llm.common import UnitCache, environment_for_tokenizers, slices, stored, whole_texts
 
 
-def joined_encoder(tokenizer_path: str):
-    """Function from sorted text units to their ids as little-endian 32-bit numbers.
+#: Fixed value: the pattern of byte-level tokenizers.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-    Units that end in a character other than white space are encoded in one text, since the tokenizer
-    starts anew at the white space between them; lengths in bytes tell where each unit's ids end.
+
+def _ids_of(tokenizer_path: str):
+    """Bytes of each id (or None), and a function from texts to id arrays, without special tokens.
+
+    Where the file ranks its merges in the order of their ids, as byte-level vocabularies do, its
+    vocabulary goes to the rank-based library, which gives the same ids several times faster.
     """
-    environment_for_tokenizers()
-    from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
+    with open(tokenizer_path, encoding="utf-8") as file:
+        described = json.load(file)
+    model, before = described["model"], described.get("pre_tokenizer") or {}
+    vocabulary = model["vocab"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [vocabulary[a + b] for a, b in merges]
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+    if plain and not described.get("normalizer") and all(a < b for a, b in zip(made, made[1:], strict=False)):
+        points = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {chr(b): b for b in points}
+        letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in points)}
+        special = {t["content"] for t in described["added_tokens"]}
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        library = tiktoken.Encoding(tokenizer_path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        width = np.zeros(max(ranks.values()) + 1, np.int64)
+        width[list(ranks.values())] = [len(t) for t in ranks]
+        return width, lambda texts: [np.array(library.encode_ordinary(t), "<u4") for t in texts]
 
+    environment_for_tokenizers()
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.encode_special_tokens = True
-    size = max(tokenizer.get_vocab(with_added_tokens=True).values()) + 1
-    width = np.zeros(size, np.int64)
-    single = set(ByteLevel.alphabet())  # each byte has one character in the vocabulary
-    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
-        width[i] = len(token) if set(token) <= single else len(token.encode("utf-8"))
+    return None, lambda texts: [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+def joined_encoder(tokenizer_path: str):
+    """Function from sorted text units to their ids as little-endian 32-bit numbers.
+
+    Units that end in a character other than white space are encoded in one text, since the tokenizer
+    starts anew at the white space between them; lengths in bytes tell where each unit's ids end.
+    """
+    width, ids = _ids_of(tokenizer_path)
 
     def encode(parts: list[str]) -> list[bytes]:
         out: dict[int, bytes] = {}
-        joined = [i for i, u in enumerate(parts) if not u[-1:].isspace() and u]
+        joined = [] if width is None else [i for i, u in enumerate(parts) if not u[-1].isspace() and u[0] not in "\x1c\x1d\x1e\x1f"]
         for at in range(0, len(joined), 4096):
             some = joined[at : at + 4096]
-            # A line feed keeps a unit without white space apart; it is one token of one byte.
-            texts = [u if u[0] in " \n" else "\n" + u for u in (parts[i] for i in some)]
+            # A line feed keeps a unit that starts without white space apart; it is one token of one byte.
+            texts = [u if u[0].isspace() else "\n" + u for u in (parts[i] for i in some)]
             found = ids(["".join(texts)])[0]
             ends = np.cumsum([len(t.encode("utf-8")) for t in texts])
             cuts = np.searchsorted(np.cumsum(width[found]), ends) + 1

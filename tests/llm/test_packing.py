@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ordermill.llm import packing
+from ordermill.llm.common import UnitCache
 from tests.llm.rows import ODD_TEXTS, documents, words
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +53,18 @@ def test_every_piece_has_its_place(spark, library, capacity):
     assert len(used) <= math.ceil(total / capacity) + 2
 
 
+def test_units_are_encoded_as_by_the_library(library):
+    r = random.Random(4)
+    letters = ["a", "b", " ", "  ", "\n", "\r\n", "\t", "é", "!", "'s", "12", "\x1c", "\x85", "\xa0", "😀", "the", "<|endoftext|>"]
+    texts = ["".join(r.choices(letters, k=r.randint(0, 30))) for _ in range(3000)]
+    cache = UnitCache(packing.joined_encoder(TOKENIZER), most=500)
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        for text, found in zip(some, cache.values(some), strict=True):
+            ids = np.frombuffer(b"".join(found), "<u4").tolist()
+            assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_fullest_is_the_best_sum():
     r = random.Random(5)
     for _ in range(200):
