@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, chat, langid, licenses, packing, shards, simhash, suffix
+from ordermill.llm import bpe, chat, langid, licenses, packing, shards, simhash, sketch, suffix
 from ordermill.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(conversations, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_document_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array": op2_suffix_array,
     "op3_chat_format": op3_chat_format,
+    "op4_document_sketch": op4_document_sketch,
     "op5_simhash": op5_simhash,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
