@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, chat, langid, licenses, packing, shards, simhash, sketch, suffix
+from ordermill.llm import bpe, chat, covertree, langid, licenses, packing, shards, simhash, sketch, suffix
 from ordermill.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"), 24)
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
+    "op8_cover_tree": op8_cover_tree,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
