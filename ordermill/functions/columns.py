@@ -48,15 +48,6 @@ def month_of(name: str) -> Column:
     return F.trunc(F.col(name).cast("date"), "month").cast("timestamp_ntz")
 
 
-def minute_number(df: DataFrame, name: str) -> Column:
-    """Minutes since the epoch: a whole number that grows with the timestamp."""
-    stamp = F.col(name)
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        # Wall-clock arithmetic: no time zone is involved.
-        days = F.unix_date(stamp.cast("date")).cast("bigint")
-        return days * 1440 + F.hour(stamp) * 60 + F.minute(stamp)
-    return F.floor(F.unix_seconds(stamp.cast("timestamp")) / 60)
-
 
 def late_or_not(delay: str) -> Column:
     """Cleaned-orders flag: 1 when late, otherwise 0; an unknown outcome counts as 0."""

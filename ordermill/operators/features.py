@@ -21,9 +21,11 @@ def order_seller_history(seller_performance: DataFrame) -> DataFrame:
 
     ``seller_performance`` holds every (order, seller) pair of a known order exactly once, so it is
     aggregated directly; joining the pairs to it again would shuffle both sides for nothing. A pair
-    without a seller id has no history and is not counted.
+    without a seller id has no history and is not counted; an order with no other pair has count 0.
     """
-    known = seller_performance.filter(F.col("seller_id").isNotNull())
+    measures = ["seller_order_count", "seller_late_rate", "seller_avg_delivery_delay_days"]
+    named = F.col("seller_id").isNotNull()
+    known = seller_performance.withColumns({m: F.when(named, F.col(m)) for m in measures})
     return known.groupBy("order_id").agg(
         F.count("seller_id").alias("seller_count"),
         F.round(F.avg("seller_order_count"), 2).alias("seller_avg_order_count"),

@@ -4,30 +4,28 @@ One row per (order, seller). "Earlier" means earlier in (purchase time, order id
 that is still in transit counts as an order but has no outcome yet.
 
 A plain window over ``seller_id`` sends a seller's whole history to one task, which fails when one
-seller holds a large part of all rows. Sellers above ``hot_rows`` orders are therefore cut into
-blocks along the same order: one per purchase time, and each of those into ranges of order ids. The
-window runs inside a block, and the totals of all earlier blocks are added from summaries: blocks
-within their minute, minutes within the seller. The summaries are combined before they are shuffled.
+seller holds a large part of all rows. So every seller's history is cut into blocks along its own order,
+(purchase time, order id): about one block for ``LEAST_BLOCK_ROWS`` orders, ``MOST_BLOCKS`` at most. Where to
+cut comes from a sample of the seller's orders, taken by hash and in proportion, so blocks are even whatever
+the times and ids look like. The window runs inside a block, and totals of the blocks before it are added.
 
-All other sellers are one block each, so without hot sellers the work is the plain window plus a
-count per seller.
+There is one plan for all sizes. Both the window and the totals read the same exchange by seller and block.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ordermill.functions.columns import minute_number
-
-HOT_SELLER_ROWS = 10_000_000
+MOST_BLOCKS = 256
+LEAST_BLOCK_ROWS = 200
+# Sampled orders for each block: sizes of blocks then vary by about a quarter.
+_SAMPLED = 16
 
 # Totals that a history is made of: orders, known outcomes, late ones, known delays, summed delay.
 _MEASURES = ["n_orders", "n_outcomes", "n_late", "n_delays", "sum_delay"]
-# The seller as a key that is never NULL, then the block: the same key serves window and join.
+# The seller as a key that is never NULL: the same key serves windows and joins.
 _SELLER = ["_seller", "_unnamed"]
-_BLOCK = ["_time", "_range"]
 _TIME = "order_purchase_timestamp"
 
 
@@ -36,32 +34,6 @@ def order_sellers(items: DataFrame) -> DataFrame:
     return items.filter(F.col("order_id").isNotNull()).select("order_id", "seller_id").distinct()
 
 
-def _id_number(df: DataFrame) -> Column:
-    """A whole number that never decreases as the order id grows: for text, its first seven bytes."""
-    if isinstance(df.schema["order_id"].dataType, T.StringType):
-        head = F.rpad(F.substring(F.hex("order_id"), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("bigint")
-    return F.col("order_id").cast("bigint")
-
-
-def hot_sellers(pairs: DataFrame, hot_rows: int) -> DataFrame:
-    """Sellers with more than ``hot_rows`` orders, the extent of their order ids, and their ranges.
-
-    At most (all pairs / hot_rows) rows.
-    """
-    number = _id_number(pairs)
-    counted = pairs.groupBy("seller_id").agg(
-        F.count(F.lit(1)).alias("_orders"), F.min(number).alias("_lowest"), F.max(number).alias("_highest")
-    )
-    return counted.filter(F.col("_orders") > hot_rows).select(
-        F.col("seller_id").alias("_hot_seller"),
-        F.lit(True).alias("_hot"),
-        F.col("_lowest").cast("double").alias("_lowest"),
-        (F.col("_highest").cast("double") - F.col("_lowest") + 1).alias("_extent"),
-        F.ceil(F.col("_orders") / F.lit(max(hot_rows, 1))).alias("_ranges"),
-    )
-
-
 def _with_outcome(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     """Adds purchase time and the measures of one order; pairs of unknown orders are left out."""
     outcome = orders.select("order_id", _TIME, "delivery_delay_days", "is_late")
@@ -76,21 +48,46 @@ def _with_outcome(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _in_blocks(pairs: DataFrame) -> DataFrame:
-    """Adds the seller key and the block. Blocks of a seller follow each other in history order."""
+def _with_seller_key(pairs: DataFrame) -> DataFrame:
     no_seller = F.lit(0).cast(pairs.schema["seller_id"].dataType)
-    first_time = F.lit("0001-01-01 00:00:00").cast(pairs.schema[_TIME].dataType)
-    place = F.floor((_id_number(pairs) - F.col("_lowest")) / F.col("_extent") * F.col("_ranges"))
     return pairs.withColumns(
-        {
-            "_seller": F.coalesce(F.col("seller_id"), no_seller),
-            "_unnamed": F.col("seller_id").isNull(),
-            "_time": F.coalesce(F.when(F.col("_hot"), F.col(_TIME)), first_time),
-            "_range": F.when(F.col("_hot"), place).otherwise(F.lit(0)),
-        }
+        {"_seller": F.coalesce(F.col("seller_id"), no_seller), "_unnamed": F.col("seller_id").isNull()}
     )
 
 
+def _place() -> Column:
+    """Place in a seller's history; an unknown purchase time comes first."""
+    return F.struct(F.col(_TIME).alias("time"), F.col("order_id").alias("id"))
+
+
+def _cuts(sold: DataFrame, orders: DataFrame, block_rows: int) -> DataFrame:
+    """Per seller with several blocks: the places after which a new block begins.
+
+    The sample has about sixteen places a block, so at most 4,096 a seller, however many orders there are.
+    """
+    counted = sold.groupBy(*_SELLER).agg(F.count(F.lit(1)).alias("_orders"))
+    blocks = F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("_orders") / block_rows)).cast("int")
+    several = counted.withColumn("_blocks", blocks).filter("_blocks > 1")
+    part = F.col("_blocks") * F.lit(float(_SAMPLED)) / F.col("_orders")
+    chance = F.pmod(F.xxhash64("order_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sampled = sold.join(several, _SELLER).filter(chance < part)
+    placed = sampled.join(orders.select("order_id", _TIME), "order_id")
+    places = placed.groupBy(*_SELLER).agg(F.sort_array(F.collect_list(_place())).alias("p"), F.max("_blocks").alias("n"))
+    nth = F.transform(
+        F.sequence(F.lit(1), F.col("n") - 1), lambda i: F.get("p", F.floor(i * F.size("p") / F.col("n")).cast("int"))
+    )
+    return places.select(*_SELLER, F.array_distinct(nth).alias("_cuts"))
+
+
+def _in_blocks(sold: DataFrame, orders: DataFrame, block_rows: int) -> DataFrame:
+    """Pairs of known orders with their measures and ``_block``, dealt by seller and block."""
+    pairs = _with_outcome(sold, orders).join(_cuts(sold, orders, block_rows), _SELLER, "left")
+    place = _place()
+    before = F.size(F.filter("_cuts", lambda cut: cut <= place))
+    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(before)
+    return pairs.withColumn("_block", block).drop("_cuts").repartition(*_SELLER, "_block")
+
+
 def _sums_before(window, prefix: str) -> list[Column]:
     return [F.coalesce(F.sum(m).over(window), F.lit(0)).alias(f"{prefix}{m}") for m in _MEASURES]
 
@@ -99,45 +96,19 @@ def _earlier(partition: list[str], order: list[str]):
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _earlier_blocks(pairs: DataFrame) -> DataFrame:
-    """Totals of all earlier blocks of the seller, per block."""
-    sums = [F.sum(m).alias(m) for m in _MEASURES]
-    blocks = pairs.groupBy(*_SELLER, *_BLOCK).agg(*sums)
-    blocks = blocks.withColumn("_minute", minute_number(blocks, "_time"))
-    minutes = blocks.groupBy(*_SELLER, "_minute").agg(*sums)
-    # A minute has few blocks, and a seller at most one row per minute.
-    in_minute = blocks.select(
-        *_SELLER, *_BLOCK, "_minute", *_sums_before(_earlier([*_SELLER, "_minute"], _BLOCK), "near_")
-    )
-    in_seller = minutes.select(*_SELLER, "_minute", *_sums_before(_earlier(_SELLER, ["_minute"]), "far_"))
-    return in_minute.join(in_seller, [*_SELLER, "_minute"]).select(
-        *_SELLER, *_BLOCK, *[(F.col(f"near_{m}") + F.col(f"far_{m}")).alias(f"before_{m}") for m in _MEASURES]
-    )
-
-
-def seller_performance(items: DataFrame, orders: DataFrame, hot_rows: int = HOT_SELLER_ROWS) -> DataFrame:
-    sold = order_sellers(items)
-    # Bounded for a broadcast: at the default, 100,000 short rows per 10^12 pairs.
-    hot = F.broadcast(hot_sellers(sold, hot_rows))
-    same_seller = F.col("seller_id").eqNullSafe(F.col("_hot_seller"))
-
-    pairs = _in_blocks(_with_outcome(sold, orders).join(hot, same_seller, "left"))
+def seller_performance(items: DataFrame, orders: DataFrame, block_rows: int = LEAST_BLOCK_ROWS) -> DataFrame:
+    sold = _with_seller_key(order_sellers(items))
+    pairs = _in_blocks(sold, orders, block_rows)
+    block = [*_SELLER, "_block"]
     inside = pairs.select(
-        "order_id",
-        "seller_id",
-        _TIME,
-        *_SELLER,
-        *_BLOCK,
-        *_sums_before(_earlier([*_SELLER, *_BLOCK], [_TIME, "order_id"]), ""),
+        "order_id", "seller_id", _TIME, *block, *_sums_before(_earlier(block, [_TIME, "order_id"]), "")
     )
-
-    # Only hot sellers have earlier blocks; with none of them this side is empty at once.
-    hot_pairs = _in_blocks(_with_outcome(sold.join(hot, same_seller), orders))
-    # Both sides are hashed by seller and block, so the long side is not shuffled again.
-    joined = inside.join(_earlier_blocks(hot_pairs), [*_SELLER, *_BLOCK], "left")
+    totals = pairs.groupBy(*block).agg(*[F.sum(m).alias(m) for m in _MEASURES])
+    earlier = totals.select(*block, *_sums_before(_earlier(_SELLER, ["_block"]), "before_"))
+    joined = inside.join(earlier, block)
 
     def total(measure: str) -> Column:
-        return F.col(measure) + F.coalesce(F.col(f"before_{measure}"), F.lit(0))
+        return F.col(measure) + F.col(f"before_{measure}")
 
     orders_before = total("n_orders")
     late_before = F.when(total("n_outcomes") > 0, total("n_late"))

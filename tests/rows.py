@@ -35,13 +35,13 @@ def item(order_id, seller="s", number=1, product="p", price=10.0, freight=1.0):
     return (order_id, number, product, seller, START, price, freight)
 
 
-def star(spark, orders, items, hot_rows=None):
+def star(spark, orders, items, block_rows=None):
     """The star schema over hand-made orders and items."""
     silver_orders = clean_orders(spark.createDataFrame(orders, ORDER_SCHEMA))
     silver_items = clean_order_items(spark.createDataFrame(items, ITEM_SCHEMA))
     facts = fact_orders(silver_orders)
     fact_items = fact_order_items(silver_items, silver_orders)
-    extra = {} if hot_rows is None else {"hot_rows": hot_rows}
+    extra = {} if block_rows is None else {"block_rows": block_rows}
     history = seller_performance(fact_items, facts, **extra)
     return SimpleNamespace(
         fact_orders=facts,

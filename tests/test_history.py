@@ -4,7 +4,9 @@ from datetime import timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from ordermill.operators import history
 from rows import START, dicts, item, order, star
 
 
@@ -62,15 +64,15 @@ def random_shop(seed, n=150):
     return orders, items
 
 
-@pytest.mark.parametrize("hot_rows", [None, 20, 0])
+@pytest.mark.parametrize("block_rows", [None, 20, 1])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force_with_and_without_splitting_hot_sellers(spark, seed, hot_rows):
+def test_matches_brute_force_with_few_and_many_blocks(spark, seed, block_rows):
     orders, items = random_shop(seed)
-    tables = star(spark, orders, items, hot_rows)
+    tables = star(spark, orders, items, block_rows)
     assert measured(tables.seller_performance) == brute_force(orders, items)
 
 
-def test_a_hot_seller_with_one_purchase_time_is_still_cut_into_ranges(spark):
+def test_a_seller_with_one_purchase_time_is_still_cut_into_blocks(spark):
     rng = random.Random(9)
     ids = [f"{rng.getrandbits(64):016x}" for _ in range(200)]
     orders = [order(i, delay=rng.choice([None, -1, 2])) for i in ids[:150]]
@@ -81,14 +83,39 @@ def test_a_hot_seller_with_one_purchase_time_is_still_cut_into_ranges(spark):
     assert got == brute_force(epoch, items)
 
 
-def test_numeric_order_ids_are_cut_too(spark, tiny):
+def test_blocks_are_even_for_one_seller_one_time_and_ids_with_a_common_lead(spark):
+    n, block_rows = 20_000, 500
+    sold = spark.range(n).select(F.format_string("ORDER-2024-%08d", "id").alias("order_id"), F.lit("s").alias("seller_id"))
+    orders = sold.select(
+        "order_id",
+        F.lit(START).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        F.lit(0).alias("delivery_delay_days"),
+        F.lit(0).alias("is_late"),
+    )
+    blocks = history._in_blocks(history._with_seller_key(sold), orders, block_rows)
+    sizes = [r["count"] for r in blocks.groupBy("_block").count().collect()]
+    assert sum(sizes) == n and len(sizes) == n // block_rows
+    assert max(sizes) <= 2 * n / len(sizes)
+    per_order = history.seller_performance(sold, orders, block_rows).select("order_id", "seller_order_count")
+    wrong = per_order.filter("seller_order_count != cast(substring(order_id, 12) as long)")
+    assert wrong.count() == 0
+
+
+def test_an_order_of_unknown_sellers_only_counts_none(spark):
+    orders, items = [order("x"), order("y", day=1)], [item("x", None), item("y", None), item("y", "a", number=2)]
+    rows = {r["order_id"]: r for r in dicts(star(spark, orders, items).delivery_features)}
+    assert rows["x"]["seller_count"] == 0 and rows["y"]["seller_count"] == 1
+    assert rows["x"]["seller_max_order_count"] is None and rows["y"]["seller_max_order_count"] == 0
+
+
+def test_numeric_order_ids_and_short_blocks(spark, tiny):
     from ordermill.operators.history import seller_performance
     from ordermill.plans.warehouse import Warehouse
     from ordermill.sources.standin import raw_table
 
     tables = Warehouse.from_raw(lambda name: raw_table(spark, tiny, name))
     plain = measured(tables.seller_performance)
-    assert measured(seller_performance(tables.fact_order_items, tables.fact_orders, hot_rows=100)) == plain
+    assert measured(seller_performance(tables.fact_order_items, tables.fact_orders, block_rows=7)) == plain
 
 
 def test_first_order_unknown_outcomes_and_ties(spark):
