@@ -3,18 +3,29 @@
 Each round counts the values of every open bracket in a fixed number of equal-width bins (combined
 before the shuffle, so a round returns at most brackets x bins rows) and narrows the bracket of each
 wanted rank to one bin. A bin whose smallest and largest value agree, or whose edge is the wanted
-rank, settles it. Every round removes at least one distinct value; in practice two or three suffice.
+rank, settles it.
+
+The smallest and the largest value of a bracket never share a bin, infinities included, so every round
+leaves a narrower bracket. The first rounds cut values into bins of equal width, which takes two or three
+rounds for ordinary data; whatever is still open after ``WIDTH_ROUNDS`` is cut by the values' bits instead,
+in which no range of doubles is wide: at most seven rounds more with 2,048 bins.
 """
 
 from __future__ import annotations
 
+import struct
 from dataclasses import dataclass
-from math import ceil, floor
+from decimal import Decimal
+from math import ceil, floor, isinf
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rounds of bins of equal width, before bins of equal numbers of doubles.
+WIDTH_ROUNDS = 4
+
+
 @dataclass(frozen=True)
 class _Bracket:
     column: str
@@ -28,18 +39,50 @@ def _value(column: str) -> Column:
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
-def _histograms(df: DataFrame, brackets: list[_Bracket], bins: int) -> dict[int, list]:
+def _ordinal(value: float) -> int:
+    """Place of a double among all doubles."""
+    bits = struct.unpack("<q", struct.pack("<d", value + 0.0))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _ordinal_of(value: Column) -> Column:
+    """The same for a column, from exponent and fraction; built-in functions only."""
+    size = F.abs(value)
+    # Subnormals have exponent 0; log2 may be off by one next to a power of two.
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022)).cast("int")
+    scale = lambda e: F.pow(F.lit(2.0), F.floor(e / 2)) * F.pow(F.lit(2.0), e - F.floor(e / 2))
+    low = size < scale(guess)
+    high = size / scale(guess) >= 2.0
+    exponent = F.when(low & (guess > -1022), guess - 1).when(high, guess + 1).otherwise(guess)
+    fraction = size / scale(exponent)  # in [1, 2), below 1 for subnormals
+    normal = (exponent + 1022).cast("bigint") * F.lit(1 << 52) + (fraction * F.lit(float(1 << 52))).cast("bigint")
+    place = F.when(size == 0, F.lit(0).cast("bigint")).when(size == F.lit(float("inf")), F.lit(0x7FF0 << 48)).otherwise(normal)
+    return F.when(value < 0, -place).otherwise(place)
+
+
+def _place(value: Column, b: _Bracket, bins: int, by_bits: bool) -> Column:
+    """Bin of a value inside the bracket: 0 for its low end and ``bins - 1`` for its high end."""
+    if b.low == b.high:
+        return F.lit(0).cast("bigint")
+    if by_bits or isinf(b.low) or isinf(b.high):
+        low, high = _ordinal(b.low), _ordinal(b.high)
+        # Decimals hold the difference of any two.
+        above = (_ordinal_of(value).cast("decimal(20,0)") - F.lit(Decimal(low))).cast("double")
+        inner = F.floor(above / F.lit(float(high - low + 1)) * bins)
+    else:
+        # Halved, since the width may exceed the largest double.
+        inner = F.floor((value / 2 - b.low / 2) / F.lit(b.high / 2 - b.low / 2) * bins)
+    inside = F.least(F.greatest(inner.cast("bigint"), F.lit(0)), F.lit(bins - 1))
+    return F.when(value == b.low, F.lit(0)).when(value == b.high, F.lit(bins - 1)).otherwise(inside)
+
+
+def _histograms(df: DataFrame, brackets: list[_Bracket], bins: int, by_bits: bool) -> dict[int, list]:
     """Per bracket, its non-empty bins as (bin, count, smallest, largest), in order."""
 
     def entry(number: int, b: _Bracket):
         value = _value(b.column)
-        width = b.high - b.low
-        place = F.floor((value - b.low) / F.lit(width) * bins) if width else F.lit(0).cast("bigint")
-        inside = F.struct(
-            F.lit(number).alias("bracket"),
-            F.least(place, F.lit(bins - 1)).alias("bin"),
-            value.alias("value"),
-        )
+        place = _place(value, b, bins, by_bits)
+        inside = F.struct(F.lit(number).alias("bracket"), place.cast("bigint").alias("bin"), value.alias("value"))
         return F.when(value.between(b.low, b.high), inside)
 
     rows = (
@@ -63,7 +106,10 @@ def _settle(bracket: _Bracket, filled: list, rank: int) -> float | _Bracket:
                 return low
             if rank == below + n - 1:
                 return high
-            return _Bracket(bracket.column, low, high, below)
+            narrower = _Bracket(bracket.column, low, high, below)
+            if narrower == bracket:
+                raise RuntimeError(f"no progress between {low!r} and {high!r}")
+            return narrower
         below += n
     raise ValueError("the input changed between passes; read it from a table or a checkpoint")
 
@@ -93,9 +139,11 @@ def exact_quantiles(
             for rank in (floor(position), ceil(position)):
                 pending[(c, rank)] = _Bracket(c, extent[f"low_{i}"], extent[f"high_{i}"], 0)
 
+    rounds = 0
     while pending:
         brackets = sorted(set(pending.values()), key=lambda b: (b.column, b.low))
-        found = _histograms(df, brackets, bins)
+        found = _histograms(df, brackets, bins, rounds >= WIDTH_ROUNDS)
+        rounds += 1
         for key, bracket in list(pending.items()):
             result = _settle(bracket, found[brackets.index(bracket)], key[1])
             if isinstance(result, _Bracket):
@@ -106,6 +154,9 @@ def exact_quantiles(
 
     def interpolated(c: str, position: float) -> float:
         lower, upper = settled[(c, floor(position))], settled[(c, ceil(position))]
-        return lower + (upper - lower) * (position - floor(position))
+        part = position - floor(position)
+        if lower == upper or not part:
+            return lower
+        return lower * (1 - part) + upper * part if isinf(upper - lower) else lower + (upper - lower) * part
 
     return {c: [interpolated(c, p) for p in positions[c]] or [None] * len(probabilities) for c in columns}

@@ -33,3 +33,42 @@ def test_any_values_match_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = exact_quantiles(df, ["x"], PROBABILITIES, bins=4)["x"]
     assert got == pytest.approx(list(np.quantile([float(v) for v in values], PROBABILITIES)), rel=1e-9, abs=1e-9)
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize("bins", [2, 2048])
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, 2.0, 3.0, 4.0, INF],
+        [-INF, -INF, 5.0, INF],
+        [-1.7e308, 1.0, 2.0, 3.0, 1.7e308],
+        [5e-324, 1e-323, 0.0, -5e-324, 1.0, 1e300, -2.2250738585072014e-308],
+        [-0.0, 0.0, 1e-310, 2e-310],
+    ],
+)
+def test_wide_and_infinite_ranges_end(spark, values, bins, monkeypatch):
+    from ordermill.operators import quantiles
+
+    rounds = []
+    monkeypatch.setattr(quantiles, "_histograms", lambda *a, f=quantiles._histograms: rounds.append(1) or f(*a))
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    # Each value is a quantile of its own rank.
+    ranks = [i / (len(values) - 1) for i in range(len(values))]
+    assert exact_quantiles(df, ["x"], ranks, bins=bins)["x"] == sorted(values)
+    assert len(rounds) <= quantiles.WIDTH_ROUNDS + (7 if bins > 2 else 65)
+
+
+def test_ordinals_follow_the_order_of_doubles(spark):
+    from ordermill.operators.quantiles import _ordinal, _ordinal_of
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(3)
+    bits = r.integers(-(2**63), 2**63, 2000)
+    values = [float(v) for v in bits.view(np.float64) if not np.isnan(v)]
+    values += [s * 2.0**e * f for s in (1, -1) for e in (-1074, -1073, -1022, -1023, -1, 0, 1, 1023) for f in (1.0, 1 - 2**-53, 1 + 2**-52)]
+    values += [0.0, -0.0, INF, -INF]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", _ordinal_of(F.col("x")).alias("o"))
+    assert [row["o"] for row in df.collect()] == [_ordinal(v) for v in values]
