@@ -26,13 +26,13 @@ _BODIES: dict[str, str] = {
     "overall_customer_kpis": """
         SELECT count(DISTINCT customer_unique_id) AS total_customers, count(DISTINCT order_id) AS total_orders,
                round(count(DISTINCT order_id)::DOUBLE / count(DISTINCT customer_unique_id), 2) AS orders_per_customer,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(DISTINCT customer_unique_id)) / 100
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(DISTINCT customer_unique_id)) / 100
                    AS revenue_per_customer
         FROM features JOIN dim_customers USING (customer_id)""",
     "customer_performance_by_state": """
         SELECT customer_state, count(DISTINCT customer_unique_id) AS customers, count(DISTINCT order_id) AS orders,
-               sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS revenue,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
+               round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS revenue,
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(order_total_price)) / 100
                    AS average_order_value
         FROM features JOIN dim_customers USING (customer_id)
         GROUP BY customer_state ORDER BY revenue DESC, customer_state""",
@@ -46,7 +46,7 @@ _BODIES: dict[str, str] = {
     "monthly_customer_activity": """
         SELECT date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month,
                count(DISTINCT customer_unique_id) AS active_customers, count(DISTINCT f.order_id) AS orders,
-               sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS revenue
+               round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS revenue
         FROM features f JOIN fact_orders o ON f.order_id = o.order_id
              JOIN dim_customers c ON f.customer_id = c.customer_id
         GROUP BY 1 ORDER BY 1""",
@@ -85,25 +85,25 @@ _BODIES: dict[str, str] = {
     # --- product KPIs ---
     "overall_product_kpis": """
         SELECT count(DISTINCT product_id) AS total_products,
-               round(sum(price::DECIMAL(18, 2)) * 100 / count(price)) / 100 AS average_product_price,
-               sum(total_item_value::DECIMAL(18, 2))::DOUBLE AS total_product_revenue,
-               sum(freight_value::DECIMAL(18, 2))::DOUBLE AS total_freight_revenue
+               round(sum(price::DECIMAL(20, 6)) * 100 / count(price)) / 100 AS average_product_price,
+               round(sum(total_item_value::DECIMAL(20, 6)), 2)::DOUBLE AS total_product_revenue,
+               round(sum(freight_value::DECIMAL(20, 6)), 2)::DOUBLE AS total_freight_revenue
         FROM fact_items""",
     "top_products_by_revenue": """
         SELECT product_id, count(DISTINCT order_id) AS orders,
-               sum(total_item_value::DECIMAL(18, 2))::DOUBLE AS revenue,
-               sum(price::DECIMAL(18, 2))::DOUBLE / count(price) AS average_price
+               round(sum(total_item_value::DECIMAL(20, 6)), 2)::DOUBLE AS revenue,
+               sum(price::DECIMAL(20, 6))::DOUBLE / count(price) AS average_price
         FROM fact_items GROUP BY 1 ORDER BY revenue DESC, product_id LIMIT 20""",
     "revenue_by_product_category": """
         SELECT coalesce(product_category_name, 'Unknown') AS category, count(DISTINCT order_id) AS orders,
-               count(DISTINCT product_id) AS products, sum(total_item_value::DECIMAL(18, 2))::DOUBLE AS revenue,
-               round(sum(price::DECIMAL(18, 2)) * 100 / count(price)) / 100 AS average_price
+               count(DISTINCT product_id) AS products, round(sum(total_item_value::DECIMAL(20, 6)), 2)::DOUBLE AS revenue,
+               round(sum(price::DECIMAL(20, 6)) * 100 / count(price)) / 100 AS average_price
         FROM fact_items JOIN dim_products USING (product_id) GROUP BY 1 ORDER BY revenue DESC, category""",
     "freight_performance_by_category": """
         SELECT coalesce(product_category_name, 'Unknown') AS category,
-               round(sum(freight_value::DECIMAL(18, 2)) * 100 / count(freight_value)) / 100 AS average_freight,
-               round(sum(freight_value::DECIMAL(18, 2))::DOUBLE
-                     / nullif(sum(total_item_value::DECIMAL(18, 2))::DOUBLE, 0) * 100, 2) AS freight_percentage
+               round(sum(freight_value::DECIMAL(20, 6)) * 100 / count(freight_value)) / 100 AS average_freight,
+               round(sum(freight_value::DECIMAL(20, 6))::DOUBLE
+                     / nullif(sum(total_item_value::DECIMAL(20, 6))::DOUBLE, 0) * 100, 2) AS freight_percentage
         FROM fact_items JOIN dim_products USING (product_id) GROUP BY 1 ORDER BY freight_percentage DESC, category""",
     # --- review KPIs ---
     "overall_review_kpis": """
@@ -128,28 +128,28 @@ _BODIES: dict[str, str] = {
         FROM fact_reviews GROUP BY 1 ORDER BY 1""",
     # --- sales KPIs ---
     "overall_sales_kpis": """
-        SELECT count(DISTINCT order_id) AS total_orders, sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS total_revenue,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
+        SELECT count(DISTINCT order_id) AS total_orders, round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS total_revenue,
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(order_total_price)) / 100
                    AS average_order_value,
                round(min(order_total_price), 2) AS minimum_order_value,
                round(max(order_total_price), 2) AS maximum_order_value
         FROM features""",
     "monthly_sales_performance": """
         SELECT date_trunc('month', order_purchase_timestamp)::TIMESTAMP AS month, count(DISTINCT f.order_id) AS orders,
-               sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS revenue,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
+               round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS revenue,
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(order_total_price)) / 100
                    AS average_order_value
         FROM features f JOIN fact_orders o ON f.order_id = o.order_id GROUP BY 1 ORDER BY 1""",
     "sales_by_order_status": """
         SELECT order_status, count(DISTINCT order_id) AS total_orders,
-               sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS total_revenue,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
+               round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS total_revenue,
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(order_total_price)) / 100
                    AS average_order_value
         FROM features GROUP BY 1 ORDER BY total_revenue DESC, order_status""",
     "late_orders_impact_on_sales": """
         SELECT is_late, count(DISTINCT order_id) AS total_orders,
-               sum(order_total_price::DECIMAL(18, 2))::DOUBLE AS total_revenue,
-               round(sum(order_total_price::DECIMAL(18, 2)) * 100 / count(order_total_price)) / 100
+               round(sum(order_total_price::DECIMAL(20, 6)), 2)::DOUBLE AS total_revenue,
+               round(sum(order_total_price::DECIMAL(20, 6)) * 100 / count(order_total_price)) / 100
                    AS average_order_value
         FROM features GROUP BY 1 ORDER BY 1""",
     # --- seller KPIs ---
@@ -189,10 +189,10 @@ _BODIES: dict[str, str] = {
     "review_score_counts": "SELECT review_score, count(*) AS rows FROM reviews GROUP BY 1",
     "item_value_summary": """
         SELECT 'price' AS column, min(price) AS min_value, max(price) AS max_value,
-               round(sum(price::DECIMAL(18, 2))::DOUBLE / count(price), 4) AS avg_value FROM items
+               round(sum(price::DECIMAL(20, 6))::DOUBLE / count(price), 4) AS avg_value FROM items
         UNION ALL
         SELECT 'freight_value', min(freight_value), max(freight_value),
-               round(sum(freight_value::DECIMAL(18, 2))::DOUBLE / count(freight_value), 4) FROM items""",
+               round(sum(freight_value::DECIMAL(20, 6))::DOUBLE / count(freight_value), 4) FROM items""",
     "delay_days": """
         SELECT order_id, (epoch_us(order_delivered_customer_date) - epoch_us(order_estimated_delivery_date))
                          / 86400000000 AS delivery_delay_days,
@@ -333,6 +333,8 @@ _SUITES = {
             ("duplicate_order_item_records", _repeats("order_id, order_item_id")),
             ("negative_prices", _where("price < 0")),
             ("negative_freight", _where("freight_value < 0")),
+            ("unusable_prices", _where("price IS NOT NULL AND try_cast(price AS DECIMAL(20, 6)) IS NULL")),
+            ("unusable_freight", _where("freight_value IS NOT NULL AND try_cast(freight_value AS DECIMAL(20, 6)) IS NULL")),
             ("invalid_order_item_ids", _where("order_item_id < 1")),
             ("incorrect_total_item_value", _where("abs(total_item_value - (price + freight_value)) >= 0.001")),
         ],

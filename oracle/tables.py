@@ -125,8 +125,8 @@ CTES: dict[str, str] = {
         FROM history""",
     "item_totals": """
         SELECT order_id, count(*) AS order_item_count,
-               sum(price::DECIMAL(18, 2))::DOUBLE AS order_total_price,
-               sum(freight_value::DECIMAL(18, 2))::DOUBLE AS order_total_freight
+               round(sum(price::DECIMAL(20, 6)), 2)::DOUBLE AS order_total_price,
+               round(sum(freight_value::DECIMAL(20, 6)), 2)::DOUBLE AS order_total_freight
         FROM fact_items GROUP BY order_id""",
     "seller_totals": """
         SELECT order_id, count(seller_id) AS seller_count, 

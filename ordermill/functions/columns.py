@@ -59,17 +59,30 @@ def late_if_known(delay: str) -> Column:
     return (F.col(delay) > 0).cast("int")
 
 
-def cents(name: str) -> Column:
-    """Money as a whole number of cents: sums are exact and independent of row order."""
-    return scaled(name, 2)
+def amount(name: str) -> Column:
+    """Money as an exact decimal, so that sums don't depend on row order and are rounded only once.
+
+    NULL for what is no amount: NaN, an infinity, or 10^14 and more (see the ``unusable`` quality rules).
+    """
+    return F.col(name).try_cast("decimal(20,6)")
+
+
+def money(total: Column) -> Column:
+    """A sum of amounts, rounded to whole cents."""
+    return F.round(total, 2).cast("double")
 
 
 def money_sum(name: str) -> Column:
-    return F.sum(cents(name)) / F.lit(100.0)
+    return money(F.sum(amount(name)))
 
 
 def money_avg(name: str) -> Column:
-    return F.try_divide(F.sum(cents(name)) / F.lit(100.0), F.count(name))
+    return share(F.sum(amount(name)), F.count(amount(name)))
+
+
+def money_mean(total: Column, count: Column) -> Column:
+    """Mean of amounts from their sum and number, rounded to whole cents; halves are decided exactly."""
+    return F.round(F.try_divide(total, count), 2).cast("double")
 
 
 def share(part: Column, total: Column) -> Column:
@@ -79,7 +92,7 @@ def share(part: Column, total: Column) -> Column:
 
 def scaled(name: str, places: int) -> Column:
     """A value with at most ``places`` decimals as a whole number of its smallest unit."""
-    return F.rint(F.col(name) * float(10**places)).cast("bigint")
+    return F.rint(F.col(name) * float(10**places)).try_cast("bigint")
 
 
 def rounded_mean(total: Column, count: Column, places: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.columns import amount
 from ordermill.operators.quality import (
     Rule,
     allowed,
@@ -13,6 +14,7 @@ from ordermill.operators.quality import (
     non_negative,
     not_null,
     required_columns,
+    rule,
     run_checks,
     same_value,
     unique,
@@ -59,6 +61,8 @@ SILVER_SUITES: dict[str, list[Rule]] = {
         unique(["order_id", "order_item_id"], "duplicate_order_item_records"),
         non_negative("price", "negative_prices"),
         non_negative("freight_value", "negative_freight"),
+        rule("unusable_prices", ["price"], lambda: F.col("price").isNotNull() & amount("price").isNull()),
+        rule("unusable_freight", ["freight_value"], lambda: F.col("freight_value").isNotNull() & amount("freight_value").isNull()),
         at_least("order_item_id", 1, "invalid_order_item_ids"),
         same_value(
             "total_item_value",

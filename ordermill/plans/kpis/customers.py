@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.columns import cents, money_sum, month_of, report_round, rounded_mean, share
+from ordermill.functions.columns import amount, money, money_mean, money_sum, month_of, report_round, share
 
 
 def _orders_per_customer(tables) -> DataFrame:
     totals = tables.delivery_features.groupBy("customer_id").agg(
         F.count("order_id").alias("n"),
-        F.sum(cents("order_total_price")).alias("cents"),
+        F.sum(amount("order_total_price")).alias("revenue"),
         F.count("order_total_price").alias("priced"),
     )
     people = tables.dim_customers.select("customer_id", "customer_unique_id", "customer_state")
@@ -30,7 +30,7 @@ def overall_customer_kpis(tables) -> DataFrame:
         people.alias("total_customers"),
         orders.alias("total_orders"),
         report_round(share(orders, people)).alias("orders_per_customer"),
-        rounded_mean(F.sum("cents"), people, 2).alias("revenue_per_customer"),
+        money_mean(F.sum("revenue"), people).alias("revenue_per_customer"),
     )
 
 
@@ -41,8 +41,8 @@ def customer_performance_by_state(tables) -> DataFrame:
         .agg(
             F.countDistinct("customer_unique_id").alias("customers"),
             F.sum("n").alias("orders"),
-            (F.sum("cents") / F.lit(100.0)).alias("revenue"),
-            rounded_mean(F.sum("cents"), F.sum("priced"), 2).alias("average_order_value"),
+            money(F.sum("revenue")).alias("revenue"),
+            money_mean(F.sum("revenue"), F.sum("priced")).alias("average_order_value"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("customer_state"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.columns import cents, mean_of_rounded, money_avg, money_sum, report_round, rounded_mean, share
+from ordermill.functions.columns import amount, money, money_avg, money_mean, money_sum, report_round, share
 
 TOP = 20
 
@@ -19,7 +19,7 @@ def _categories(tables) -> DataFrame:
 def overall_product_kpis(tables) -> DataFrame:
     return tables.fact_order_items.agg(
         F.countDistinct("product_id").alias("total_products"),
-        mean_of_rounded("price", 2).alias("average_product_price"),
+        money_mean(F.sum(amount("price")), F.count(amount("price"))).alias("average_product_price"),
         money_sum("total_item_value").alias("total_product_revenue"),
         money_sum("freight_value").alias("total_freight_revenue"),
     )
@@ -39,21 +39,28 @@ def top_products_by_revenue(tables) -> DataFrame:
 
 
 def revenue_by_product_category(tables) -> DataFrame:
-    """Items are first reduced to one row per (product, order): that is what the join carries."""
-    sold = tables.fact_order_items.groupBy("product_id", "order_id").agg(
-        F.sum(cents("total_item_value")).alias("value"),
-        F.sum(cents("price")).alias("prices"),
-        F.count("price").alias("priced"),
+    """Sums per product join the category as one row each; distinct orders of a category are counted apart."""
+    items = tables.fact_order_items.filter(F.col("product_id").isNotNull())
+    sold = items.groupBy("product_id").agg(
+        F.sum(amount("total_item_value")).alias("value"),
+        F.sum(amount("price")).alias("prices"),
+        F.count(amount("price")).alias("priced"),
     )
-    return (
-        sold.join(_categories(tables), "product_id")
+    categories = _categories(tables)
+    totals = (
+        sold.join(categories, "product_id")
         .groupBy("category")
         .agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.countDistinct("product_id").alias("products"),
-            (F.sum("value") / F.lit(100.0)).alias("revenue"),
-            rounded_mean(F.sum("prices"), F.sum("priced"), 2).alias("average_price"),
+            F.count("product_id").alias("products"),
+            money(F.sum("value")).alias("revenue"),
+            money_mean(F.sum("prices"), F.sum("priced")).alias("average_price"),
         )
+    )
+    bought = items.select("product_id", "order_id").distinct().join(categories, "product_id")
+    orders = bought.groupBy("category").agg(F.countDistinct("order_id").alias("orders"))
+    return (
+        totals.join(orders, "category")
+        .select("category", "orders", "products", "revenue", "average_price")
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )
 
@@ -61,16 +68,16 @@ def revenue_by_product_category(tables) -> DataFrame:
 def freight_performance_by_category(tables) -> DataFrame:
     """Summed per product before the join, so a bestseller reaches the join as one row."""
     sold = tables.fact_order_items.groupBy("product_id").agg(
-        F.sum(cents("freight_value")).alias("freight"),
-        F.count("freight_value").alias("freights"),
-        F.sum(cents("total_item_value")).alias("value"),
+        F.sum(amount("freight_value")).alias("freight"),
+        F.count(amount("freight_value")).alias("freights"),
+        F.sum(amount("total_item_value")).alias("value"),
     )
     return (
         sold.join(_categories(tables), "product_id")
         .groupBy("category")
         .agg(
-            rounded_mean(F.sum("freight"), F.sum("freights"), 2).alias("average_freight"),
-            report_round(share(F.sum("freight"), F.nullif(F.sum("value"), F.lit(0))) * 100).alias(
+            money_mean(F.sum("freight"), F.sum("freights")).alias("average_freight"),
+            report_round(share(F.sum("freight"), F.sum("value")) * 100).alias(
                 "freight_percentage"
             ),
         )

@@ -6,18 +6,25 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.operators.quality import enforce
+from ordermill.operators.quality import DataQualityError, enforce
 from ordermill.operators.suites import GOLD_SUITES, check_gold, check_silver
 from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, StoredWarehouse, Warehouse
-from ordermill.sources.files import CORRUPT, ingest, read_table, write_table
+from ordermill.sources.files import CORRUPT, ingest, read_table, rejected_lines, write_table
 
 
 def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, tables: list[str]) -> DataFrame:
-    """Clean and write every table, then check what was written. Returns the report."""
+    """Clean and write every table, then check what was written. Returns the report, with lines that had
+    malformed fields counted for each table. All tables of the model are needed.
+    """
+    missing = sorted(set(CLEANERS) - set(tables))
+    if missing:
+        raise DataQualityError(f"missing raw tables: {', '.join(missing)}")
+    tables = [name for name in tables if name in CLEANERS]
     for name in tables:
         raw = read_table(spark, f"{bronze_dir}/{name}")
         write_table(CLEANERS[name](raw.drop(CORRUPT)), f"{silver_dir}/{name}")
     reports = [check_silver(read_table(spark, f"{silver_dir}/{name}"), name) for name in tables]
+    reports += [rejected_lines(read_table(spark, f"{bronze_dir}/{name}"), name) for name in tables]
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -41,16 +41,27 @@ def discover(spark: SparkSession, raw_dir: str, prefix: str = "") -> dict[str, s
     folder = jvm.org.apache.hadoop.fs.Path(raw_dir)
     entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
     paths = sorted(entry.getPath().toString() for entry in entries)
-    return {dataset_name(p, prefix): p for p in paths if p.endswith(".csv")}
+    found: dict[str, str] = {}
+    for path in paths:
+        if path.endswith(".csv"):
+            name = dataset_name(path, prefix)
+            if name in found:
+                raise ValueError(f"two files for table {name}: {found[name]} and {path}")
+            found[name] = path
+    return found
 
 
 def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str, prefix: str = "") -> list[str]:
-    """Copy every known raw CSV table to Parquet; returns the tables written."""
+    """Copy every raw CSV file to Parquet; returns the tables written.
+
+    Files of no declared table are kept as well, all columns as text.
+    """
     written = []
     for name, path in discover(spark, raw_dir, prefix).items():
-        if name in DATASETS:
-            write_table(read_csv(spark, path, DATASETS[name]), f"{bronze_dir}/{name}")
-            written.append(name)
+        known = DATASETS.get(name)
+        df = read_csv(spark, path, known) if known else spark.read.option("header", True).option("escape", '"').csv(path)
+        write_table(df, f"{bronze_dir}/{name}")
+        written.append(name)
     return written
 
 
@@ -81,3 +92,10 @@ def write_json(df: DataFrame, path: str) -> None:
 def rejected(df: DataFrame) -> DataFrame:
     """Lines that did not fit the schema, of a bronze table (or a cached raw scan)."""
     return df.filter(F.col(CORRUPT).isNotNull())
+
+
+def rejected_lines(df: DataFrame, name: str) -> DataFrame:
+    """Report row with the number of those lines. Their other fields are kept, so the check passes."""
+    return rejected(df).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit(name).alias("dataset"), F.lit("rejected_lines").alias("check"), "violations", F.lit(True).alias("passed")
+    )

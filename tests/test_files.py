@@ -6,7 +6,7 @@ import pytest
 
 from ordermill.catalog import QUERIES
 from ordermill.operators.quality import DataQualityError
-from ordermill.plans.layers import run
+from ordermill.plans.layers import build_silver, run
 from ordermill.plans.runner import ReportError, run_reports
 from ordermill.plans.warehouse import GOLD_TABLES, StoredWarehouse
 from ordermill.sources import files
@@ -121,6 +121,31 @@ def test_bad_silver_stops_the_run_before_gold(spark, raw, tmp_path):
     assert os.path.isdir(out / "silver") and not os.path.exists(out / "gold")
 
 
+def test_every_file_is_ingested_and_none_twice(spark, raw, tmp_path):
+    (raw / "shop_extra_dataset.csv").write_text("a,b\n1,x\n")
+    written = files.ingest(spark, str(raw), str(tmp_path / "bronze"), "shop_")
+    assert sorted(written) == sorted([*DATASETS, "extra"])
+    assert dicts(files.read_table(spark, str(tmp_path / "bronze" / "extra"))) == [{"a": "1", "b": "x"}]
+    (raw / "shop_orders.csv").write_text("order_id\n")
+    with pytest.raises(ValueError, match="two files for table orders"):
+        files.ingest(spark, str(raw), str(tmp_path / "bronze"), "shop_")
+
+
+def test_a_missing_table_stops_the_run(spark, raw, tmp_path):
+    (raw / "shop_geolocation_dataset.csv").rename(raw / "unrelated.txt")
+    with pytest.raises(DataQualityError, match="missing raw tables: geolocation"):
+        run(spark, str(raw), str(tmp_path / "lake"), prefix="shop_")
+
+
+def test_rejected_lines_are_counted(spark, raw, tmp_path):
+    path = raw / "shop_order_payments_dataset.csv"
+    path.write_text(CSV[path.name] + "o2,x,card,1,2.5\n")
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    report = build_silver(spark, bronze, silver, files.ingest(spark, str(raw), bronze, "shop_"))
+    counted = {r["dataset"]: r["violations"] for r in dicts(report.filter("check = 'rejected_lines'"))}
+    assert counted["order_payments"] == 1 and sum(counted.values()) == 1 and len(counted) == 9
+
+
 def test_failed_reports_do_not_stop_the_others(spark, tmp_path):
     def broken(tables):
         raise RuntimeError("no table")

@@ -177,3 +177,20 @@ def test_totals_agree_across_reports(spark, tiny):
     summary = run("training_summary")[0]
     assert total(known, "total_orders") == summary["rows"] == summary["late_orders"] + summary["on_time_orders"]
     assert summary["rows"] + summary["removed_missing_target"] == orders
+
+
+def test_money_is_rounded_after_the_sum_and_nan_is_reported(spark):
+    from ordermill.operators.suites import check_silver
+    from ordermill.operators.clean import clean_order_items
+    from rows import ITEM_SCHEMA
+
+    items = [item("o", number=i, price=1.005, freight=0.0) for i in range(3)]
+    tables = star(spark, [order("o")], items)
+    assert dicts(tables.delivery_features)[0]["order_total_price"] == 3.02
+    odd = [*items, item("o", number=9, price=float("nan")), item("o", number=10, price=1e300)]
+    tables = star(spark, [order("o")], odd)
+    assert dicts(tables.delivery_features)[0]["order_total_price"] == 3.02
+    assert dicts(products.overall_product_kpis(tables))[0]["average_product_price"] == 1.01
+    silver = clean_order_items(spark.createDataFrame(odd, ITEM_SCHEMA))
+    report = {r["check"]: r["violations"] for r in dicts(check_silver(silver, "order_items"))}
+    assert report["unusable_prices"] == 2 and report["unusable_freight"] == 0
