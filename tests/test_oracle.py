@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
+from oracle.queries import ORACLE
 from oracle_check import connect, differences
+from ordermill.catalog import QUERIES
 
-ORACLE = contract.oracle_sql()
 WITHOUT_SQL = {"risk_scores", "risk_coefficients", "risk_coefficients_with_indicators", "risk_evaluation"}
 
 
@@ -16,11 +17,12 @@ def duck(tiny):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, tiny, duck, name):
-    assert differences(contract.queries()[name](spark, tiny), duck, ORACLE[name]) == []
+    assert differences(QUERIES[name](spark, tiny), duck, ORACLE[name]) == []
 
 
 def test_only_iterative_models_lack_sql():
-    assert set(contract.queries()) - set(ORACLE) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
+    assert set(QUERIES) <= set(contract.queries()) and ORACLE.items() <= contract.oracle_sql().items()
 
 
 def test_flagship(spark):
@@ -36,7 +38,7 @@ def physical_plan(spark, tiny, name):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        return contract.queries()[name](spark, tiny)._jdf.queryExecution().executedPlan().toString()
+        return QUERIES[name](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -60,14 +62,18 @@ def test_top_k_is_not_a_full_sort(spark, tiny, name):
 
 def test_history_sorts_the_pairs_once(spark, tiny):
     plan = physical_plan(spark, tiny, "seller_performance")
-    # One window over the pairs, and two over the summaries of hot sellers.
-    assert plan.count("- Window [") == 3
+    # One window over the pairs, and one over the totals of blocks.
+    assert plan.count("- Window [") == 2
     # The long side of the last join is the window itself: no exchange between them.
     top = plan.splitlines()[1:8]
     assert "SortMergeJoin" in top[0] and "Window [" in top[2]
     assert not any("Exchange" in line for line in top[:4])
 
 
+def test_category_report_has_no_expand(spark, tiny):
+    assert "Expand" not in physical_plan(spark, tiny, "revenue_by_product_category")
+
+
 @pytest.mark.parametrize("name", ["overall_sales_kpis", "sales_by_order_status", "customers_by_number_of_orders"])
 def test_unused_seller_history_is_not_computed(spark, tiny, name):
     assert "Window" not in physical_plan(spark, tiny, name)
@@ -84,7 +90,7 @@ def test_reports_on_a_stored_layer_read_only_their_columns(spark, tiny, tmp_path
     from ordermill.plans.warehouse import StoredWarehouse
     from ordermill.sources.files import write_table
 
-    write_table(contract.queries()["fact_reviews"](spark, tiny), str(tmp_path / "fact_reviews"))
+    write_table(QUERIES["fact_reviews"](spark, tiny), str(tmp_path / "fact_reviews"))
     plan = overall_review_kpis(StoredWarehouse(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<review_score:int>" in plan
 
