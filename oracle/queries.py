@@ -13,6 +13,8 @@ _BODIES: dict[str, str] = {
     "clean_order_items": "SELECT * FROM items",
     "clean_payments": "SELECT * FROM payments",
     "clean_reviews": "SELECT * FROM reviews",
+    "clean_geolocation": "SELECT * FROM places",
+    "clean_category_translation": "SELECT * FROM translations",
     # --- star schema ---
     "dim_customers": "SELECT * FROM dim_customers",
     "dim_products": "SELECT * FROM dim_products",
@@ -358,6 +360,24 @@ _SUITES = {
             ("null_order_ids", _where("order_id IS NULL")),
         ],
     ),
+    "quality_geolocation": (
+        "geolocation",
+        "places",
+        [
+            ("invalid_latitude", _where("geolocation_lat < -90 OR geolocation_lat > 90")),
+            ("invalid_longitude", _where("geolocation_lng < -180 OR geolocation_lng > 180")),
+            ("null_zip_prefix", _where("geolocation_zip_code_prefix IS NULL")),
+        ],
+    ),
+    "quality_category_translation": (
+        "product_category_name_translation",
+        "translations",
+        [
+            ("duplicate_categories", _repeats("product_category_name")),
+            ("null_categories", _where("product_category_name IS NULL")),
+            ("null_english_names", _where("product_category_name_english IS NULL")),
+        ],
+    ),
     "quality_gold_fact_orders": (
         "fact_orders",
         "fact_orders",

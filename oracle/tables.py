@@ -47,7 +47,7 @@ CTES: dict[str, str] = {
     "raw_payments": """
         SELECT event_id AS order_id, 1 AS payment_sequential, event_type AS payment_type,
                user_id % 12 + 1 AS payment_installments, value AS payment_value
-        FROM events WHERE event_type = 'purchase'""",
+        FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)""",
     # --- cleaned tables ---
     "customers": """
         SELECT customer_id, customer_unique_id, customer_zip_code_prefix::INTEGER AS customer_zip_code_prefix,
@@ -92,6 +92,14 @@ CTES: dict[str, str] = {
         SELECT DISTINCT order_id, payment_sequential, trim(lower(payment_type)) AS payment_type,
                payment_installments::INTEGER AS payment_installments, payment_value
         FROM raw_payments""",
+    "places": """
+        SELECT DISTINCT c_nationkey::INTEGER AS geolocation_zip_code_prefix, (c_custkey % 7)::DOUBLE AS geolocation_lat,
+               (c_custkey % 5)::DOUBLE AS geolocation_lng, lower(c_mktsegment) AS geolocation_city,
+               upper(n_name) AS geolocation_state
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "translations": """
+        SELECT lower(p_type) AS product_category_name, min(lower(p_brand)) AS product_category_name_english
+        FROM part GROUP BY 1""",
     # --- star schema ---
     "dim_customers": "SELECT * FROM customers",
     "dim_products": "SELECT * EXCLUDE (product_volume_cm3) FROM products",

@@ -52,6 +52,8 @@ _CLEAN = {
     "clean_order_items": "order_items",
     "clean_payments": "order_payments",
     "clean_reviews": "order_reviews",
+    "clean_geolocation": "geolocation",
+    "clean_category_translation": "product_category_name_translation",
 }
 
 
@@ -167,6 +169,8 @@ QUALITY: dict[str, Query] = {
     "quality_order_items": _silver_check("order_items"),
     "quality_payments": _silver_check("order_payments"),
     "quality_reviews": _silver_check("order_reviews"),
+    "quality_geolocation": _silver_check("geolocation"),
+    "quality_category_translation": _silver_check("product_category_name_translation"),
     "quality_gold_fact_orders": _gold_check("fact_orders"),
     "quality_gold_fact_order_items": _gold_check("fact_order_items"),
     "quality_gold_seller_performance": _gold_check("seller_performance"),

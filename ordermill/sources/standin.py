@@ -106,19 +106,40 @@ def _order_reviews(read) -> DataFrame:
 
 
 def _order_payments(read) -> DataFrame:
+    """One payment for each event; every tenth event's payment is in the table twice."""
+    events = read("events")
+    return events.unionByName(events.filter(F.col("event_id") % 10 == 0)).select(
+        F.col("event_id").alias("order_id"),
+        F.lit(1).alias("payment_sequential"),
+        F.col("event_type").alias("payment_type"),
+        (F.col("user_id") % 12 + 1).alias("payment_installments"),
+        F.col("value").alias("payment_value"),
+    )
+
+
+def _geolocation(read) -> DataFrame:
+    """Customers as places: many repeat a zip code, position, city and state once these are cleaned."""
     return (
-        read("events")
-        .filter(F.col("event_type") == "purchase")
+        read("customer")
+        .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("event_id").alias("order_id"),
-            F.lit(1).alias("payment_sequential"),
-            F.col("event_type").alias("payment_type"),
-            (F.col("user_id") % 12 + 1).alias("payment_installments"),
-            F.col("value").alias("payment_value"),
+            F.col("c_nationkey").alias("geolocation_zip_code_prefix"),
+            (F.col("c_custkey") % 7).cast("double").alias("geolocation_lat"),
+            (F.col("c_custkey") % 5).cast("double").alias("geolocation_lng"),
+            F.concat(F.lit("  "), F.upper("c_mktsegment")).alias("geolocation_city"),
+            F.lower("n_name").alias("geolocation_state"),
         )
     )
 
 
+def _category_translation(read) -> DataFrame:
+    """Part types as categories, each with the names of several brands: one of them has to be kept."""
+    return read("part").select(
+        F.concat(F.upper("p_type"), F.lit(" ")).alias("product_category_name"),
+        F.col("p_brand").alias("product_category_name_english"),
+    )
+
+
 _TABLES = {
     "customers": _customers,
     "sellers": _sellers,
@@ -127,6 +148,8 @@ _TABLES = {
     "order_items": _order_items,
     "order_reviews": _order_reviews,
     "order_payments": _order_payments,
+    "geolocation": _geolocation,
+    "product_category_name_translation": _category_translation,
 }
 
 
