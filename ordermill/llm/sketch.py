@@ -4,8 +4,8 @@ A text is a multiset of paragraph digests (the nth copy of a paragraph counts as
 digest goes to one cell in each of three parts of a table; a cell holds how many digests it got, their
 exclusive or, and the exclusive or of their checksums. Tables of one size subtract cell by cell, and what
 both texts have cancels. A cell left with one digest gives it away, which takes it out of its other cells,
-and so on: if all cells end empty, the differing digests are known. If not, both tables are built again
-four times as large. The likeness of two texts is the share of their digests that don't differ.
+and so on: if all cells end empty, the differing digests are known. If not, the difference is built again
+in a table for as many digests as both texts have, and then in larger ones. The likeness of two texts is the share of their digests that don't differ.
 """
 
 from __future__ import annotations
@@ -25,9 +25,12 @@ from ordermill.llm.common import slices, whole_texts
 
 #: Cells of a fingerprint; a difference of about eight paragraphs can be read from it.
 CELLS = 12
-GROWTH = 4
+GROWTH = 2
 PARTS = 3
-_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+_SEEDS = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F], [0x165667B19E3779F9]], np.uint64)
+_ROWS = np.arange(PARTS, dtype=np.int64)[:, None]
+_MIX = np.uint64(0xFF51AFD7ED558CCD)
+_AGAIN = np.uint64(0xC4CEB9FE1A85EC53)
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -70,14 +73,15 @@ def _checksums(keys: np.ndarray) -> np.ndarray:
 
 
 def _cells_of(keys: np.ndarray, cells: int) -> np.ndarray:
-    """A cell in each part, for each key."""
-    part = np.uint64(cells // PARTS)
-    rows = []
-    for i, seed in enumerate(_SEEDS):
-        x = (keys ^ np.uint64(seed)) * np.uint64(0xFF51AFD7ED558CCD)
-        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-        rows.append((x >> np.uint64(20)) % part + np.uint64(i) * part)
-    return np.concatenate(rows).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
+    """A row for each part of the table, with the cell of each key."""
+    x = (keys ^ _SEEDS) * _MIX
+    x = (x ^ (x >> np.uint64(33))) * _AGAIN
+    part = cells // PARTS
+    return ((x >> np.uint64(20)) % np.uint64(part)).astype(np.int64) + _ROWS * part
+
+
+def _in_each_part(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([values] * PARTS)
 
 
 @dataclass
@@ -87,11 +91,17 @@ class Table:
     checks: np.ndarray
 
     @classmethod
-    def of(cls, keys: np.ndarray, cells: int = CELLS) -> Table:
-        at = _cells_of(keys, cells)
-        table = cls(np.bincount(at, minlength=cells), np.zeros(cells, np.uint64), np.zeros(cells, np.uint64))
-        np.bitwise_xor.at(table.keys, at, np.tile(keys, PARTS))
-        np.bitwise_xor.at(table.checks, at, np.tile(_checksums(keys), PARTS))
+    def of(cls, plus: np.ndarray, cells: int = CELLS, minus: np.ndarray | None = None) -> Table:
+        """Table of some digests, less that of others: the difference of their tables."""
+        signs = None
+        if minus is not None:
+            signs = _in_each_part(np.r_[np.ones(len(plus)), -np.ones(len(minus))])
+            plus = np.concatenate([plus, minus])
+        at = _cells_of(plus, cells).ravel()
+        counts = np.bincount(at, signs, cells).astype(np.int64)
+        table = cls(counts, np.zeros(cells, np.uint64), np.zeros(cells, np.uint64))
+        np.bitwise_xor.at(table.keys, at, _in_each_part(plus))
+        np.bitwise_xor.at(table.checks, at, _in_each_part(_checksums(plus)))
         return table
 
     def __sub__(self, other: Table) -> Table:
@@ -110,26 +120,26 @@ class Table:
         counts, keys, checks = self.counts.copy(), self.keys.copy(), self.checks.copy()
         found = 0
         while True:
-            alone = np.flatnonzero((counts == 1) | (counts == -1))
+            alone = np.flatnonzero(np.abs(counts) == 1)
             alone = alone[_checksums(keys[alone]) == checks[alone]]
             if not len(alone):
                 break
             new, first = np.unique(keys[alone], return_index=True)
-            sign = counts[alone][first]
-            at = _cells_of(new, len(counts))
-            np.subtract.at(counts, at, np.tile(sign, PARTS))
-            np.bitwise_xor.at(keys, at, np.tile(new, PARTS))
-            np.bitwise_xor.at(checks, at, np.tile(_checksums(new), PARTS))
+            at = _cells_of(new, len(counts)).ravel()
+            np.subtract.at(counts, at, _in_each_part(counts[alone[first]]))
+            np.bitwise_xor.at(keys, at, _in_each_part(new))
+            np.bitwise_xor.at(checks, at, _in_each_part(_checksums(new)))
             found += len(new)
         return None if counts.any() or keys.any() or checks.any() else found
 
 
 def differences(a: np.ndarray, b: np.ndarray, table_a: Table, table_b: Table) -> int:
     """Number of digests that only one of two texts has, from their tables, larger ones if need be."""
-    cells = len(table_a.counts)
-    while (found := (table_a - table_b).peeled()) is None:
+    found = (table_a - table_b).peeled()
+    cells = PARTS * ((len(a) + len(b)) // 2 + CELLS)
+    while found is None:
+        found = Table.of(a, cells, b).peeled()
         cells *= GROWTH
-        table_a, table_b = Table.of(a, cells), Table.of(b, cells)
     return found
 
 
