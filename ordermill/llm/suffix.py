@@ -291,7 +291,8 @@ MOST_KINDS = 8192
 def repeated_starts(texts: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
     """``id``, ``check``, ``spans``: per text the runs (first, last) of starts whose strings start elsewhere as well."""
     anchors = _anchors(texts)
-    several = anchors.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    # Stored, so that it isn't computed on the join's own partitions, where Spark couldn't split a hot bucket.
+    several = stored(anchors.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket"))
     left = stored(anchors.join(several, "bucket"))
     kinds = left.groupBy("bucket", "whole").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*_KEY, "place")).alias("one")
@@ -299,7 +300,7 @@ def repeated_starts(texts: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame
     kinds = stored(kinds.select("bucket", "one.*", (F.col("n") == 1).alias("single")))
     # Only a single kind is in question, and only if its bucket has another one.
     mixed = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max("single").alias("any"))
-    mixed = mixed.filter("k > 1 AND any").select("bucket", (F.col("k") > most_kinds).alias("hot"))
+    mixed = stored(mixed.filter("k > 1 AND any").select("bucket", (F.col("k") > most_kinds).alias("hot")))
     covered = _with_bytes(texts, kinds.join(mixed, "bucket").select(*_KEY, "bucket", "place", "single", "hot"))
     covered = stored(covered)
     found = _resolved(covered.filter("NOT hot")).unionByName(_resolved_by_start(covered.filter("hot")))
