@@ -27,6 +27,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+#: Bytes of the longest match that is remembered.
+LONGEST_KNOWN = 64
+
+
 class PrefixEncoder:
     """Encoder for byte strings; holds the vocabulary and what is known about pairs of tokens."""
 
@@ -83,8 +87,13 @@ class PrefixEncoder:
                 if token >= 0:
                     found.append(token)
                 start -= 1
-            while found:
+            if not found:
+                raise ValueError(f"no token of the vocabulary ends at byte {end}")
+            # Exactly one of them is right, so the shortest need not be tried.
+            while True:
                 token = found.pop()
+                if not found:
+                    break
                 start = end - width[token]
                 if start:
                     before = last[start - 1]
@@ -93,8 +102,6 @@ class PrefixEncoder:
                         break
                 elif self.stands(token):
                     break
-            else:
-                raise ValueError(f"no token of the vocabulary ends at byte {end}")
             last.append(token)
 
     def read_back(self, last: list[int]) -> list[int]:
@@ -157,15 +164,26 @@ class PrefixTable:
         return self.encoder.read_back(self.last)
 
 
-def text_encoder(ranks_path: str, pattern: str):
-    """Function from a list of texts to a list of id lists; matches of ``pattern`` are encoded apart."""
+def text_encoder(ranks_path: str, pattern: str, most_known: int = 400_000):
+    """Encoder, and function from a list of texts to a list of id lists.
+
+    Matches of ``pattern`` are encoded apart; short ones are remembered, about ``most_known`` of them.
+    """
     encoder, matches = PrefixEncoder(read_ranks(ranks_path)), regex.compile(pattern)
 
+    known: dict[bytes, list[int]] = {}
+
     def encode(texts: list[str]) -> list[list[int]]:
         parts = [[m.encode("utf-8") for m in matches.findall(t)] for t in texts]
-        distinct = sorted({m for p in parts for m in p})
-        ids = dict(zip(distinct, encoder.encode_sorted(distinct), strict=True))
-        return [[i for m in p for i in ids[m]] for p in parts]
+        if len(known) > most_known:
+            known.clear()
+        new = sorted(set().union(*parts).difference(known))
+        known.update(zip(new, encoder.encode_sorted(new), strict=True))
+        found = [[i for m in p for i in known[m]] for p in parts]
+        for m in new:
+            if len(m) > LONGEST_KNOWN:
+                del known[m]
+        return found
 
     return encoder, encode
 
@@ -204,12 +222,12 @@ def encoding_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         def prepared(parts: list[str]) -> list[tuple]:
             return [(" ".join(map(str, ids)).encode(), len(ids), encoder.decode(ids)) for ids in encode(parts)]
 
-        cache = UnitCache(prepared, most=900_000)
+        cache = UnitCache(prepared, most=1_000_000)
 
         def digests(found: list[tuple]) -> tuple:
-            raw = b"".join([f[2] for f in found])
-            ids = hashlib.sha256(b" ".join([f[0] for f in found])).hexdigest()
-            return sum([f[1] for f in found]), ids, hashlib.sha256(raw).hexdigest(), len(raw)
+            ids, counts, parts = zip(*found, strict=True) if found else ((), (), ())
+            raw = b"".join(parts)
+            return sum(counts), hashlib.sha256(b" ".join(ids)).hexdigest(), hashlib.sha256(raw).hexdigest(), len(raw)
 
         return lambda texts: [digests(found) for found in cache.values(texts)]
 

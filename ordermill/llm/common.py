@@ -109,13 +109,12 @@ class UnitCache:
         if len(self.known) > self.most // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = {u for p in parts for u in p if u not in known}
-        known.update((u, older[u]) for u in missing if u in older)
-        missing = sorted(u for u in missing if u not in known)
-        if not missing:
-            return [[known[u] for u in p] for p in parts]
-        known.update(zip(missing, self.encode(missing), strict=True))
-        values = [[known[u] for u in p] for p in parts]
+        unknown = set().union(*parts).difference(known)
+        known.update((u, older[u]) for u in unknown.intersection(older))
+        missing = sorted(unknown.difference(known))
+        if missing:
+            known.update(zip(missing, self.encode(missing), strict=True))
+        values = [list(map(known.__getitem__, p)) for p in parts]
         for u in missing:
             if len(u) > self.longest:
                 del known[u]
