@@ -26,12 +26,15 @@ from ordermill.llm.components import components
 
 COSINE = 0.95
 #: Residents of a task, about; larger cells are dealt into blocks.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 #: Rows that centres are chosen from, and centres at most.
 SAMPLE_ROWS = 2048
 MOST_CELLS = 1024
 _VISITORS = 2048
 _MARGIN = 1e-9
+_AT_A_TIME = 512
+#: Pairs of nodes that are taken one by one.
+_MANY_OPEN = 64
 _RADII = (1.0, 0.5, 0.25, 0.125)
 
 
@@ -68,22 +71,31 @@ def _net(points: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
 class CoverTree:
     """Nested levels over points: ``levels[0]`` are single points, each further one has fewer, wider nodes.
 
-    A level holds the points at its centres, covering radii (the farthest point below), weights, and the
+    A level holds the points at its centres, covering radii (the farthest point below), points below, and the
     members of each node in the level under it. Levels that would gather almost nothing are left out.
     """
 
     def __init__(self, points: np.ndarray, weights: np.ndarray):
         self.points, self.weights = points, weights
+        self.rough = points.astype(np.float32)
         n = len(points)
         at, below = np.arange(n), np.arange(n)  # centres of the level so far; for each point its node there
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, list]] = [(at, np.zeros(n), weights, [])]
-        probe = points[:: max(1, n // 64)]
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, list]] = [(at, np.zeros(n), np.ones(n, np.int64), [])]
+        alike = self.rough @ self.rough.T
         for radius in reversed(_RADII):
-            if n < 2 or (_apart(probe, points) <= radius).sum() < 1.2 * len(probe):
+            least = 1 - radius**2 / 2
+            close = (alike if len(at) == n else alike[np.ix_(at, at)]) >= least - 1e-5
+            crowded = close.sum(axis=1) > 1
+            if crowded.sum() < 0.05 * len(at):
                 continue
-            chosen, of = _net(points[at], radius)
-            if len(chosen) > 0.9 * len(at):
+            # A point without another one near is a node of its own.
+            some, lone = np.flatnonzero(crowded), np.flatnonzero(~crowded)
+            centres, nearest = _net(points[at[some]], radius)
+            chosen = np.concatenate([some[centres], lone])
+            if len(chosen) > 0.95 * len(at):
                 continue
+            of = np.empty(len(at), np.int64)
+            of[some], of[lone] = nearest, len(centres) + np.arange(len(lone))
             order = np.argsort(of, kind="stable")
             members = np.split(order, np.searchsorted(of[order], np.arange(1, len(chosen))))
             below = of[below]
@@ -91,7 +103,7 @@ class CoverTree:
             far = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", points, points[at[below]]), 0))
             reach = np.zeros(len(at))
             np.maximum.at(reach, below, far)
-            self.levels.append((at, reach, np.bincount(below, weights, len(at)), members))
+            self.levels.append((at, reach, np.bincount(below, minlength=len(at)), members))
 
     def under(self, level: int, node: int) -> np.ndarray:
         """Points below a node."""
@@ -102,6 +114,21 @@ class CoverTree:
         return nodes
 
 
+def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs (i, j) of ``x`` and ``y`` with their cosines, of which none of ``least`` or more is missing.
+
+    Single precision finds the pairs, double precision gives the cosines.
+    """
+    for s in range(0, len(x), _AT_A_TIME):
+        some = x[s : s + _AT_A_TIME]
+        i, j = np.nonzero(a.rough[some] @ b.rough[y].T >= least - 1e-5)
+        if len(i) > len(some) * 16:
+            cosines = (a.points[some] @ b.points[y].T)[i, j]
+        else:
+            cosines = np.einsum("ij,ij->i", a.points[some[i]], b.points[y[j]])
+        yield some[i], y[j], cosines
+
+
 class Links:
     """Numbers of links, and a forest of them, for the points of two trees (or one with itself)."""
 
@@ -129,14 +156,14 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
     bound, same = float(np.sqrt(2 - 2 * cosine)), a is b
 
     def exact(x: np.ndarray, y: np.ndarray) -> None:
-        near = a.points[x] @ b.points[y].T >= cosine
-        if same:
-            near &= x[:, None] < y[None, :]
-        i, j = np.nonzero(near)
-        if len(i):
-            np.add.at(links.count, x[i] + shift_a, b.weights[y[j]])
-            np.add.at(links.count, y[j] + shift_b, a.weights[x[i]])
-            links.join(x[i] + shift_a, y[j] + shift_b)
+        for i, j, cosines in _cosines(a, x, b, y, cosine):
+            near = cosines >= cosine
+            if same:
+                near &= i < j
+            i, j = i[near], j[near]
+            np.add.at(links.count, i + shift_a, b.weights[j])
+            np.add.at(links.count, j + shift_b, a.weights[i])
+            links.join(i + shift_a, j + shift_b)
 
     def whole(la: int, p: int, lb: int, q: int) -> None:
         x = a.under(la, p)
@@ -153,35 +180,49 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
     waiting = [(len(a.levels) - 1, np.arange(len(a.levels[-1][0])), len(b.levels) - 1, np.arange(len(b.levels[-1][0])))]
     while waiting:
         la, nodes_a, lb, nodes_b = waiting.pop()
-        at_a, reach_a, _, members_a = a.levels[la]
+        at_a, reach_a, many_a, members_a = a.levels[la]
         at_b, reach_b, _, members_b = b.levels[lb]
         if la == 0 and lb == 0:
-            for s in range(0, len(nodes_a), 512):
-                exact(nodes_a[s : s + 512], nodes_b)
+            exact(nodes_a, nodes_b)
             continue
-        for s in range(0, len(nodes_a), 512):
-            some = nodes_a[s : s + 512]
-            apart = _apart(a.points[at_a[some]], b.points[at_b[nodes_b]])
-            reach = reach_a[some][:, None] + reach_b[nodes_b][None, :]
+        widest = bound + reach_a[nodes_a].max() + reach_b[nodes_b].max() + _MARGIN
+        parts = []
+        for i, j, cosines in _cosines(_Centres(a, at_a), nodes_a, _Centres(b, at_b), nodes_b, 1 - min(widest, 2.0) ** 2 / 2):
+            apart = np.sqrt(np.maximum(2 - 2 * cosines, 0))
+            reach = reach_a[i] + reach_b[j]
             keep = apart - reach <= bound + _MARGIN
             if same and la == lb:
-                keep &= some[:, None] <= nodes_b[None, :]
-            near = keep & (apart + reach <= bound - _MARGIN)
-            for i, j in zip(*np.nonzero(near), strict=True):
-                whole(la, some[i], lb, nodes_b[j])
-            # Both sides descend, so that in a tree with itself they stay on one level.
-            for i, j in zip(*np.nonzero(keep & ~near), strict=True):
-                p, q = some[i], nodes_b[j]
-                da, db = max(la - 1, 0), max(lb - 1, 0)
-                below_a = members_a[p] if la else np.array([p])
-                below_b = members_b[q] if lb else np.array([q])
-                if same and p == q:
-                    waiting.append((da, below_a, db, below_b))
-                elif same:
-                    # Members of different nodes come in any order: take them in both.
-                    _across(waiting, da, below_a, below_b)
-                else:
-                    waiting.append((da, below_a, db, below_b))
+                keep &= (i < j) | (i == j) & (many_a[i] > 1)
+            parts.append((i[keep], j[keep], (apart + reach <= bound - _MARGIN)[keep]))
+        i, j, near = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if (~near).sum() > _MANY_OPEN:
+            # Many small nodes close to each other: their points are compared at once. Pairs of nodes
+            # that were left hold no links, so nothing is counted that shouldn't be.
+            x = [a.under(la, p) for p in np.unique(i).tolist()]
+            y = [b.under(lb, q) for q in np.unique(j).tolist()]
+            if same:
+                x = y = [np.unique(np.concatenate(x + y))]
+            waiting.append((0, np.concatenate(x), 0, np.concatenate(y)))
+            continue
+        for p, q in zip(i[near].tolist(), j[near].tolist(), strict=True):
+            whole(la, p, lb, q)
+        # Both sides descend, so that in a tree with itself they stay on one level.
+        for p, q in zip(i[~near].tolist(), j[~near].tolist(), strict=True):
+            da, db = max(la - 1, 0), max(lb - 1, 0)
+            below_a = members_a[p] if la else np.array([p])
+            below_b = members_b[q] if lb else np.array([q])
+            if same and p != q:
+                # Members of different nodes come in any order: take them in both.
+                _across(waiting, da, below_a, below_b)
+            else:
+                waiting.append((da, below_a, db, below_b))
+
+
+class _Centres:
+    """The centres of a level, as points of their own."""
+
+    def __init__(self, tree: CoverTree, at: np.ndarray):
+        self.points, self.rough = tree.points[at], tree.rough[at]
 
 
 def _across(waiting: list, level: int, x: np.ndarray, y: np.ndarray) -> None:
