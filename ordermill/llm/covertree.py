@@ -151,11 +151,12 @@ class Links:
 def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: int, cosine: float = COSINE) -> None:
     """Adds the links between the points of two trees, numbered from ``shift_a`` and ``shift_b`` on.
 
-    If both are the same tree, each pair is taken once.
+    If both are the same tree, each pair is taken once: an entry that waits has either the same nodes on both
+    sides, of which a pair is taken as (smaller, larger), or nodes with no point in common.
     """
-    bound, same = float(np.sqrt(2 - 2 * cosine)), a is b
+    bound = float(np.sqrt(2 - 2 * cosine))
 
-    def exact(x: np.ndarray, y: np.ndarray) -> None:
+    def exact(x: np.ndarray, y: np.ndarray, same: bool) -> None:
         for i, j, cosines in _cosines(a, x, b, y, cosine):
             near = cosines >= cosine
             if same:
@@ -165,7 +166,7 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
             np.add.at(links.count, j + shift_b, a.weights[i])
             links.join(i + shift_a, j + shift_b)
 
-    def whole(la: int, p: int, lb: int, q: int) -> None:
+    def whole(la: int, p: int, lb: int, q: int, same: bool) -> None:
         x = a.under(la, p)
         if same and p == q:
             links.count[x + shift_a] += int(a.weights[x].sum()) - a.weights[x]
@@ -177,13 +178,13 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
         links.join(np.repeat(x[:1], len(y)) + shift_a, y + shift_b)
         links.join(x + shift_a, np.repeat(y[:1], len(x)) + shift_b)
 
-    waiting = [(len(a.levels) - 1, np.arange(len(a.levels[-1][0])), len(b.levels) - 1, np.arange(len(b.levels[-1][0])))]
+    waiting = [(len(a.levels) - 1, np.arange(len(a.levels[-1][0])), len(b.levels) - 1, np.arange(len(b.levels[-1][0])), a is b)]
     while waiting:
-        la, nodes_a, lb, nodes_b = waiting.pop()
+        la, nodes_a, lb, nodes_b, same = waiting.pop()
         at_a, reach_a, many_a, members_a = a.levels[la]
         at_b, reach_b, _, members_b = b.levels[lb]
         if la == 0 and lb == 0:
-            exact(nodes_a, nodes_b)
+            exact(nodes_a, nodes_b, same)
             continue
         widest = bound + reach_a[nodes_a].max() + reach_b[nodes_b].max() + _MARGIN
         parts = []
@@ -191,31 +192,28 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
             apart = np.sqrt(np.maximum(2 - 2 * cosines, 0))
             reach = reach_a[i] + reach_b[j]
             keep = apart - reach <= bound + _MARGIN
-            if same and la == lb:
+            if same:
                 keep &= (i < j) | (i == j) & (many_a[i] > 1)
             parts.append((i[keep], j[keep], (apart + reach <= bound - _MARGIN)[keep]))
         i, j, near = (np.concatenate(x) for x in zip(*parts, strict=True))
         if (~near).sum() > _MANY_OPEN:
             # Many small nodes close to each other: their points are compared at once. Pairs of nodes
             # that were left hold no links, so nothing is counted that shouldn't be.
-            x = [a.under(la, p) for p in np.unique(i).tolist()]
-            y = [b.under(lb, q) for q in np.unique(j).tolist()]
+            nodes_a, nodes_b = np.unique(i), np.unique(j)
             if same:
-                x = y = [np.unique(np.concatenate(x + y))]
-            waiting.append((0, np.concatenate(x), 0, np.concatenate(y)))
+                nodes_a = nodes_b = np.union1d(nodes_a, nodes_b)
+            x = np.concatenate([a.under(la, p) for p in nodes_a.tolist()])
+            y = x if same else np.concatenate([b.under(lb, q) for q in nodes_b.tolist()])
+            waiting.append((0, x, 0, y, same))
             continue
         for p, q in zip(i[near].tolist(), j[near].tolist(), strict=True):
-            whole(la, p, lb, q)
+            whole(la, p, lb, q, same)
         # Both sides descend, so that in a tree with itself they stay on one level.
         for p, q in zip(i[~near].tolist(), j[~near].tolist(), strict=True):
             da, db = max(la - 1, 0), max(lb - 1, 0)
             below_a = members_a[p] if la else np.array([p])
             below_b = members_b[q] if lb else np.array([q])
-            if same and p != q:
-                # Members of different nodes come in any order: take them in both.
-                _across(waiting, da, below_a, below_b)
-            else:
-                waiting.append((da, below_a, db, below_b))
+            waiting.append((da, below_a, db, below_b, same and p == q))
 
 
 class _Centres:
@@ -225,12 +223,6 @@ class _Centres:
         self.points, self.rough = tree.points[at], tree.rough[at]
 
 
-def _across(waiting: list, level: int, x: np.ndarray, y: np.ndarray) -> None:
-    """Pairs between two sets of nodes of one tree; the traversal takes each only as (smaller, larger)."""
-    waiting.append((level, x, level, y))
-    waiting.append((level, y, level, x))
-
-
 def _unit_rows(embeddings: DataFrame) -> DataFrame:
     """``vec_id``, ``size``, ``unit`` (doubles as bytes), ``digest``; null for vectors that link with nothing."""
     kind = embeddings.schema["vec_id"].dataType.simpleString()

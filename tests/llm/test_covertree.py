@@ -67,6 +67,31 @@ def test_traversal_equals_all_pairs():
     assert (own.count == (a @ a.T >= 0.95).sum(axis=1) - 1).all()
 
 
+@pytest.mark.parametrize("many_open", [0, 4, 64])
+def test_nested_clusters_in_one_tree(monkeypatch, many_open):
+    monkeypatch.setattr(covertree, "_MANY_OPEN", many_open)
+    r = np.random.default_rng(8)
+
+    def around(points, n, far):
+        step = r.normal(size=(len(points) * n, 32))
+        return np.repeat(points, n, axis=0) + far * step / np.linalg.norm(step, axis=1)[:, None]
+
+    # One cluster within the widest radius, in it some of half and quarter width, and their points.
+    points = around(around(around(np.ones((1, 32)) / np.sqrt(32), 8, 0.5), 12, 0.3), 10, 0.12)
+    points = points[r.permutation(len(points))]
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    weights = r.integers(1, 4, len(points))
+    tree = covertree.CoverTree(points, weights)
+    assert len(tree.levels) > 2
+    near = points @ points.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = covertree.Links(len(points))
+    covertree.traverse(tree, tree, links, 0, 0)
+    assert (links.count == near @ weights).all()
+    x, y = np.nonzero(near)
+    assert (links.root[x] == links.root[y]).all()
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     v = [1.0, 2.0]
     rows = [(5, v), (5, v), (None, v), (7, [2.0, 4.0]), (None, [-1.0, 2.0])]
