@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 import pytest
 
@@ -43,6 +45,24 @@ def test_equals_sql(spark, copies):
     assert sorted(map(str, found)) == sorted(map(str, plain))
 
 
+HEADS = ["", "Copyright (c) 2020 Jane Doe\n\n", "ISC License\n\nCopyright 2019, 2021 The Copyright Holders\n(c) Acme, Inc. All rights reserved.\n\n", "© 2020 Doe "]
+
+
+@pytest.mark.parametrize("width", [None, 20, 40, 60, 72, 79, 100])
+def test_wrapping_does_not_matter(spark, width):
+    whole = [(name, head + t) for head in HEADS for name, t in TEXTS.items()]
+    wrapped = [" ".join(t.split()) if width is None else textwrap.fill(" ".join(t.split()), width) for _, t in whole]
+    paragraphs = ["\n\n".join(" ".join(p.split()) for p in t.split("\n\n")) for _, t in whole]
+    rows = {r["doc_id"]: r["license"] for r in licenses.scan(documents(spark, wrapped + paragraphs)).collect()}
+    assert [rows[i] for i in range(len(rows))] == [name for name, _ in whole] * 2
+
+
+def test_other_words_are_no_head(spark):
+    mit = TEXTS["MIT"]
+    texts = ["Some words. " + mit, "Copyright 2020 Doe. " + "These are terms of another kind. " * 20 + mit, mit + " More.", mit.replace("copyright notice", "notice")]
+    assert {r["license"] for r in licenses.scan(documents(spark, texts)).collect()} == {None}
+
+
 def test_native_plan(spark):
     plan = licenses.scan(documents(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange hash" not in plan
