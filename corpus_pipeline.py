@@ -23,6 +23,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text whose grams are nearly all missing from every profile is in none of the languages. Texts of the
 #: languages learned score 0.35 and more.
 LEAST_SCORE = 0.05
+#: Near copies are texts whose shingles of so many words have a Jaccard similarity of 0.8 or more.
+ALIKE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each component of near fingerprints the document with the smallest id."""
-    return simhash.one_of_each(docs.select(*COLUMNS))
+    """Keeps of each component of near fingerprints or similar texts the document with the smallest id."""
+    return simhash.one_of_each(docs.select(*COLUMNS), alike_words=ALIKE_WORDS)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm import alike
 from ordermill.llm.common import map_texts, stored, whole_texts
 from ordermill.llm.components import components
 
@@ -237,13 +238,20 @@ def near_duplicates(docs: DataFrame, most: int = 4096) -> DataFrame:
     return _in_components(docs, [], most).select("doc_id", code, "component_id")
 
 
-def one_of_each(docs: DataFrame, most: int = 4096) -> DataFrame:
+def one_of_each(docs: DataFrame, most: int = 4096, alike_words: int | None = None) -> DataFrame:
     """The rows of ``docs`` with one of each component: smallest ``doc_id``, then by the text's hash.
 
-    Rows that repeat with id and text are one document.
+    With ``alike_words``, texts are also linked if the Jaccard similarity of their shingles of so many words is
+    0.8 or more, whatever their fingerprints. Rows that repeat with id and text are one document.
     """
     hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = stored(_in_components(hashed, ["_hash"], most))
+    if alike_words:
+        roots = found.groupBy(F.col("_hash").alias("id")).agg(F.min("root").alias("root"))
+        merged = components(alike.links(hashed.select(F.col("_hash").alias("id"), "text"), roots, alike_words))
+        merged = merged.select("node", F.col("root").alias("into"))
+        found = found.join(merged, found["root"] == merged["node"], "left").withColumn("root", F.coalesce("into", "root"))
+        found = stored(found.select("doc_id", "_hash", "root"))
     best = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "_hash")).alias("b"))
     best = best.select(F.col("b.doc_id").alias("best_id"), F.col("b._hash").alias("best_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("_hash") == F.col("best_hash"))
