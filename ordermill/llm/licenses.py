@@ -52,7 +52,12 @@ def canonical_text(text: Column) -> Column:
 
 def _leads(texts: dict[str, str]) -> str:
     """Pattern of the words that the known texts begin with."""
-    leads = {_BETWEEN.join(re.findall(r"[^\W_]+", t)[:_LEAD_WORDS]) for t in texts.values()}
+
+    def spelled(word: str) -> str:
+        known = SPELLINGS.get(word.lower(), word.lower())
+        return "|".join([known, *(other.replace(" ", _BETWEEN) for other, x in SPELLINGS.items() if x == known)])
+
+    leads = {_BETWEEN.join(f"(?:{spelled(w)})" for w in re.findall(r"[^\W_]+", t)[:_LEAD_WORDS]) for t in texts.values()}
     return rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(sorted(leads - {''}))})(?![\p{{L}}\p{{N}}])"
 
 
@@ -85,7 +90,7 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, str]
     the text without copyright lines, so it depends on the wrapping, and null for texts that can't be a copy. ``notices`` are the distinct licences that single lines name, in order of name, joined by
     commas (empty if none), and ``notice_lines`` the number of such lines. A null text counts as empty;
     repeated rows stay; an empty table gives no rows; other columns are ignored. Word lists follow the
-    defaults: whole texts must hold ``TEXT_WORD`` and notices match ``NOTICE_WORDS``.
+    defaults: texts have a ``text_digest`` if they hold ``TEXT_WORD``, and notices must match ``NOTICE_WORDS``.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     of_notice = F.create_map(*[x for n, name in notices.items() for x in (F.sha2(canonical(F.lit(n)), 256), F.lit(name))])
@@ -94,7 +99,7 @@ def scan(docs: DataFrame, texts: dict[str, str] = TEXTS, notices: dict[str, str]
     rows = docs.select(
         "doc_id",
         F.when(F.lower(text).contains(TEXT_WORD), F.sha2(canonical_text(text), 256)).alias("text_digest"),
-        F.when(F.lower(text).contains(TEXT_WORD), F.sha2(canonical_body(text, texts), 256)).alias("body_digest"),
+        F.when(text.rlike(rf"(?i){_leads(texts)}"), F.sha2(canonical_body(text, texts), 256)).alias("body_digest"),
         named.alias("named"),
     )
     # The lists of known licences are constants of a few rows.

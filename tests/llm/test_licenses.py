@@ -63,6 +63,12 @@ def test_other_words_are_no_head(spark):
     assert {r["license"] for r in licenses.scan(documents(spark, texts)).collect()} == {None}
 
 
+def test_texts_of_other_kinds(spark):
+    texts = {"Deed": "This licence lets you share the work.\nYou must give credit.", "Zero": "No rights are kept (c) in this work."}
+    docs = documents(spark, ["Copyright 2020 Doe\n\n" + texts["Deed"].replace("licence", "license"), texts["Zero"].upper(), texts["Zero"] + " x"])
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(docs, texts).collect()} == {0: "Deed", 1: "Zero", 2: None}
+
+
 def test_native_plan(spark):
     plan = licenses.scan(documents(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange hash" not in plan
