@@ -1,7 +1,7 @@
 """Corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
 Every stage works on all rows that the one before it kept. All but the last return the columns of
-``documents``: language identification drops texts in no known language, near-duplicate removal keeps
+``documents``: language identification drops texts that are like no known language, near-duplicate removal keeps
 one document of each component, repeated bytes are taken out of the texts, and what is left is packed
 into token sequences.
 """
@@ -21,14 +21,15 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 #: A text whose grams are nearly all missing from every profile is in none of the languages. Texts of the
-#: languages learned score 0.35 and more.
+#: languages learned score 0.35 and more. Other languages in the same script, and random letters, score above
+#: the limit too and stay.
 LEAST_SCORE = 0.05
 #: Near copies are texts whose shingles of so many words have a Jaccard similarity of 0.8 or more.
 ALIKE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops null texts, texts without a letter and texts in none of the languages."""
+    """Drops null texts, texts without a letter and texts in other scripts; other languages of a known script stay."""
     docs = docs.select(*COLUMNS)
     return langid.with_a_language(docs, langid.learned_from_part(docs), LEAST_SCORE)
 
