@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, chat, covertree, langid, licenses, packing, shards, simhash, sketch, suffix
+from ordermill.llm import bpe, chat, covertree, langid, licenses, manifest, packing, shards, simhash, sketch, suffix
 from ordermill.llm.common import table
 
 
@@ -55,6 +56,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+
+    def leaf(text):
+        return manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    claimed = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return manifest.manifest(docs, leaf(F.col("text")), leaf(claimed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array": op2_suffix_array,
@@ -66,8 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cover_tree": op8_cover_tree,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op6_license_scan": licenses.oracle_sql(),
+    "op12_merkle_manifest": manifest.oracle_sql(),
 }
