@@ -95,17 +95,17 @@ class UnitCache:
 
     ``encode`` gets a sorted list of distinct units and returns a list of values. At most ``most`` short
     units are remembered: half of them from before the last change of generation, and of those only
-    the ones met again pass on. Results don't depend on what is remembered.
+    the ones met again pass on. Results don't depend on what is remembered. ``cut`` makes units of a text.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 600_000, longest: int = 64):
-        self.encode, self.most, self.longest = encode, most, longest
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 600_000, longest: int = 64, cut=units):
+        self.encode, self.most, self.longest, self.cut = encode, most, longest, cut
         self.known: dict[str, object] = {}
         self.older: dict[str, object] = {}
 
     def values(self, texts: list[str]) -> list[list]:
         """For each text the values of its units, in order. Unknown units of all texts go to ``encode`` at once."""
-        parts = [units(t) for t in texts]
+        parts = [self.cut(t) for t in texts]
         if len(self.known) > self.most // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import bpe, chat, covertree, langid, licenses, manifest, packing, shards, simhash, sketch, suffix
+from ordermill.llm import align, bpe, chat, covertree, langid, licenses, manifest, packing, shards, simhash, sketch, suffix
 from ordermill.llm.common import table
 
 
@@ -56,6 +56,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, a, b = table(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model"
+    return align.aligned_documents(docs, public_tokenizers.path(a), public_tokenizers.path(b))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cover_tree": op8_cover_tree,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
