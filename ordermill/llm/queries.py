@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import align, bpe, chat, covertree, langid, licenses, manifest, packing, shards, simhash, sketch, suffix
+from ordermill.llm import align, bpe, chat, covertree, langid, licenses, manifest, packing, pii, shards, simhash, sketch, suffix
 from ordermill.llm.common import table
 
 
@@ -72,6 +72,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(docs, leaf(F.col("text")), leaf(claimed))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_array": op2_suffix_array,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE: dict[str, str] = {

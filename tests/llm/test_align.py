@@ -1,3 +1,4 @@
+import bisect
 import collections
 import hashlib
 import json
@@ -39,10 +40,10 @@ def brute(rows):
                 links = [(x, b_ids[at[end]]) for x, end in zip(a_ids, a_ends) if end in at]
                 start = 0
                 for end in sorted(set(a_ends) & set(b_ends)):
-                    parts = [[i for i, e in zip(ids, ends) if start < e <= end] for ids, ends in ((a_ids, a_ends), (b_ids, b_ends))] if len(a_ids) < 500 else None
-                    if parts is None:
-                        lo_a, hi_a, lo_b, hi_b = (np.searchsorted(e, x, side="right") for e in (a_ends, b_ends) for x in (start, end))
-                        parts = [a_ids[lo_a:hi_a], b_ids[lo_b:hi_b]]
+                    parts = [
+                        ids[bisect.bisect_right(ends, start) : bisect.bisect_right(ends, end)]
+                        for ids, ends in ((a_ids, a_ends), (b_ids, b_ends))
+                    ]
                     groups.append("|".join(",".join(map(str, p)) for p in parts))
                     start = end
         count.update(links)
