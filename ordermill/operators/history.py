@@ -4,12 +4,17 @@ One row per (order, seller). "Earlier" means earlier in (purchase time, order id
 that is still in transit counts as an order but has no outcome yet.
 
 A plain window over ``seller_id`` sends a seller's whole history to one task, which fails when one
-seller holds a large part of all rows. So every seller's history is cut into blocks along its own order,
-(purchase time, order id): about one block for ``LEAST_BLOCK_ROWS`` orders, ``MOST_BLOCKS`` at most. Where to
-cut comes from a sample of the seller's orders, taken by hash and in proportion, so blocks are even whatever
-the times and ids look like. The window runs inside a block, and totals of the blocks before it are added.
+seller holds a large part of all rows. So every seller's history is cut along its own order, (purchase
+time, order id), into super-blocks and these into blocks. Running sums inside a block, over the blocks of a
+super-block and over the super-blocks of a seller add up to the history. There is a block for
+``LEAST_BLOCK_ROWS`` orders; beyond ``EVEN_BLOCKS`` blocks both their number and their size grow with the square
+root of the orders. A seller with ``b`` blocks has about the root of ``b`` super-blocks with as many blocks each,
+so what is looked up for a row, and what a window over totals gathers, stays that small.
 
-There is one plan for all sizes. Both the window and the totals read the same exchange by seller and block.
+Where to cut comes from one sample of the orders, taken by hash: it also tells about how many orders a seller
+has, so the orders aren't counted first. Blocks are even whatever the times and ids look like.
+
+There is one plan for all sizes. The window and the totals read the same exchange by seller and block.
 """
 
 from __future__ import annotations
@@ -17,15 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_BLOCKS = 256
 LEAST_BLOCK_ROWS = 200
-# Sampled orders for each block: sizes of blocks then vary by about a quarter.
+EVEN_BLOCKS = 256
+# Sampled orders for a block: sixteen vary a block's size by a quarter, sixty-four by an eighth.
 _SAMPLED = 16
+_MOST_SAMPLED = 64
 
 # Totals that a history is made of: orders, known outcomes, late ones, known delays, summed delay.
 _MEASURES = ["n_orders", "n_outcomes", "n_late", "n_delays", "sum_delay"]
 # The seller as a key that is never NULL: the same key serves windows and joins.
 _SELLER = ["_seller", "_unnamed"]
+_BLOCK = [*_SELLER, "_super", "_block"]
 _TIME = "order_purchase_timestamp"
 
 
@@ -60,32 +67,52 @@ def _place() -> Column:
     return F.struct(F.col(_TIME).alias("time"), F.col("order_id").alias("id"))
 
 
-def _cuts(sold: DataFrame, orders: DataFrame, block_rows: int) -> DataFrame:
-    """Per seller with several blocks: the places after which a new block begins.
+def _nth(places: str, parts: str) -> Column:
+    """The places that cut a sorted array of places into so many equal parts."""
+    at = F.sequence(F.lit(1), F.col(parts) - 1)
+    found = F.transform(at, lambda i: F.get(places, F.floor(i * F.size(places) / F.col(parts)).cast("int")))
+    return F.when(F.col(parts) > 1, F.array_distinct(found))
+
+
+def _cuts_up_to(place: Column, cuts: str) -> Column:
+    """How many of the cuts are at or before a place; 0 without cuts."""
+    return F.when(F.col(cuts).isNull(), F.lit(0)).otherwise(F.size(F.filter(cuts, lambda cut: cut <= place)))
 
-    The sample has about sixteen places a block, so at most 4,096 a seller, however many orders there are.
-    """
-    counted = sold.groupBy(*_SELLER).agg(F.count(F.lit(1)).alias("_orders"))
-    blocks = F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("_orders") / block_rows)).cast("int")
-    several = counted.withColumn("_blocks", blocks).filter("_blocks > 1")
-    part = F.col("_blocks") * F.lit(float(_SAMPLED)) / F.col("_orders")
+
+def _cuts(sold: DataFrame, orders: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Per large seller the places after which a super-block begins; per super-block those of its blocks."""
+    rate = min(1.0, _SAMPLED / block_rows)
     chance = F.pmod(F.xxhash64("order_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sampled = sold.join(several, _SELLER).filter(chance < part)
-    placed = sampled.join(orders.select("order_id", _TIME), "order_id")
-    places = placed.groupBy(*_SELLER).agg(F.sort_array(F.collect_list(_place())).alias("p"), F.max("_blocks").alias("n"))
-    nth = F.transform(
-        F.sequence(F.lit(1), F.col("n") - 1), lambda i: F.get("p", F.floor(i * F.size("p") / F.col("n")).cast("int"))
-    )
-    return places.select(*_SELLER, F.array_distinct(nth).alias("_cuts"))
+    sampled = sold.withColumn("_chance", chance).filter(F.col("_chance") < rate)
+    placed = sampled.join(orders.select("order_id", _TIME), "order_id").select(*_SELLER, "_chance", _place().alias("_place"))
+    sizes = placed.groupBy(*_SELLER).agg((F.count(F.lit(1)) / rate).alias("_orders"))
+    even = F.ceil(F.col("_orders") / block_rows)
+    many = F.ceil(EVEN_BLOCKS * F.sqrt(F.col("_orders") / (EVEN_BLOCKS * block_rows)))
+    sizes = sizes.withColumn("_blocks", F.least(even, many).cast("int")).filter("_blocks > 1")
+    sizes = sizes.withColumn("_supers", F.ceil(F.sqrt("_blocks")).cast("int"))
+    sizes = sizes.withColumn("_inside", F.ceil(F.col("_blocks") / F.col("_supers")).cast("int"))
+    marked = placed.join(sizes, _SELLER)
+
+    def part_of(blocks: str) -> Column:
+        return F.col("_chance") < F.col(blocks) * F.lit(float(_MOST_SAMPLED)) / F.col("_orders")
+
+    supers = marked.filter(part_of("_supers")).groupBy(*_SELLER)
+    supers = supers.agg(F.sort_array(F.collect_list("_place")).alias("_places"), F.max("_supers").alias("_supers"))
+    supers = supers.select(*_SELLER, _nth("_places", "_supers").alias("_super_cuts"))
+    inside = marked.filter(part_of("_blocks")).join(supers, _SELLER)
+    inside = inside.withColumn("_super", _cuts_up_to(F.col("_place"), "_super_cuts")).groupBy(*_SELLER, "_super")
+    blocks = inside.agg(F.sort_array(F.collect_list("_place")).alias("_places"), F.max("_inside").alias("_inside"))
+    return supers, blocks.select(*_SELLER, "_super", _nth("_places", "_inside").alias("_cuts"))
 
 
 def _in_blocks(sold: DataFrame, orders: DataFrame, block_rows: int) -> DataFrame:
-    """Pairs of known orders with their measures and ``_block``, dealt by seller and block."""
-    pairs = _with_outcome(sold, orders).join(_cuts(sold, orders, block_rows), _SELLER, "left")
-    place = _place()
-    before = F.size(F.filter("_cuts", lambda cut: cut <= place))
-    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(before)
-    return pairs.withColumn("_block", block).drop("_cuts").repartition(*_SELLER, "_block")
+    """Pairs of known orders with their measures, ``_super`` and ``_block``, dealt by seller and block."""
+    supers, blocks = _cuts(sold, orders, block_rows)
+    pairs = _with_outcome(sold, orders).join(supers, _SELLER, "left")
+    pairs = pairs.withColumn("_super", _cuts_up_to(_place(), "_super_cuts")).drop("_super_cuts")
+    pairs = pairs.join(blocks, [*_SELLER, "_super"], "left")
+    pairs = pairs.withColumn("_block", _cuts_up_to(_place(), "_cuts")).drop("_cuts")
+    return pairs.repartition(*_BLOCK)
 
 
 def _sums_before(window, prefix: str) -> list[Column]:
@@ -99,13 +126,17 @@ def _earlier(partition: list[str], order: list[str]):
 def seller_performance(items: DataFrame, orders: DataFrame, block_rows: int = LEAST_BLOCK_ROWS) -> DataFrame:
     sold = _with_seller_key(order_sellers(items))
     pairs = _in_blocks(sold, orders, block_rows)
-    block = [*_SELLER, "_block"]
     inside = pairs.select(
-        "order_id", "seller_id", _TIME, *block, *_sums_before(_earlier(block, [_TIME, "order_id"]), "")
+        "order_id", "seller_id", _TIME, *_BLOCK, *_sums_before(_earlier(_BLOCK, [_TIME, "order_id"]), "")
+    )
+    totals = pairs.groupBy(*_BLOCK).agg(*[F.sum(m).alias(m) for m in _MEASURES])
+    in_super = totals.select(*_BLOCK, *_sums_before(_earlier([*_SELLER, "_super"], ["_block"]), "before_"))
+    super_totals = totals.groupBy(*_SELLER, "_super").agg(*[F.sum(m).alias(m) for m in _MEASURES])
+    over = super_totals.select(*_SELLER, "_super", *_sums_before(_earlier(_SELLER, ["_super"]), "over_"))
+    earlier = in_super.join(over, [*_SELLER, "_super"]).select(
+        *_BLOCK, *[(F.col(f"before_{m}") + F.col(f"over_{m}")).alias(f"before_{m}") for m in _MEASURES]
     )
-    totals = pairs.groupBy(*block).agg(*[F.sum(m).alias(m) for m in _MEASURES])
-    earlier = totals.select(*block, *_sums_before(_earlier(_SELLER, ["_block"]), "before_"))
-    joined = inside.join(earlier, block)
+    joined = inside.join(earlier, _BLOCK)
 
     def total(measure: str) -> Column:
         return F.col(measure) + F.col(f"before_{measure}")

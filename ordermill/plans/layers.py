@@ -12,9 +12,12 @@ from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, StoredWarehouse, Wa
 from ordermill.sources.files import CORRUPT, ingest, read_table, rejected_lines, write_table
 
 
-def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, tables: list[str]) -> DataFrame:
+def build_silver(
+    spark: SparkSession, bronze_dir: str, silver_dir: str, tables: list[str], most_rejected: int | None = None
+) -> DataFrame:
     """Clean and write every table, then check what was written. Returns the report, with lines that had
-    malformed fields counted for each table. All tables of the model are needed.
+    malformed fields counted for each table; more than ``most_rejected`` of them fail. All tables of the model
+    are needed.
     """
     missing = sorted(set(CLEANERS) - set(tables))
     if missing:
@@ -24,7 +27,7 @@ def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, tables:
         raw = read_table(spark, f"{bronze_dir}/{name}")
         write_table(CLEANERS[name](raw.drop(CORRUPT)), f"{silver_dir}/{name}")
     reports = [check_silver(read_table(spark, f"{silver_dir}/{name}"), name) for name in tables]
-    reports += [rejected_lines(read_table(spark, f"{bronze_dir}/{name}"), name) for name in tables]
+    reports += [rejected_lines(read_table(spark, f"{bronze_dir}/{name}"), name, most_rejected) for name in tables]
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -90,12 +90,14 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    """Lines that did not fit the schema, of a bronze table (or a cached raw scan)."""
-    return df.filter(F.col(CORRUPT).isNotNull())
+    """Lines that did not fit the schema, of a bronze table (or a cached raw scan); none where they weren't recorded."""
+    return df.filter(F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False))
 
 
-def rejected_lines(df: DataFrame, name: str) -> DataFrame:
-    """Report row with the number of those lines. Their other fields are kept, so the check passes."""
-    return rejected(df).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(name).alias("dataset"), F.lit("rejected_lines").alias("check"), "violations", F.lit(True).alias("passed")
+def rejected_lines(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """Report row with the number of those lines. Their other fields are kept, so any number passes without ``most``."""
+    counted = rejected(df).agg(F.count(F.lit(1)).alias("violations"))
+    passed = F.lit(True) if most is None else F.col("violations") <= most
+    return counted.select(
+        F.lit(name).alias("dataset"), F.lit("rejected_lines").alias("check"), "violations", passed.alias("passed")
     )

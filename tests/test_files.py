@@ -172,3 +172,10 @@ def test_json_sink(spark, tmp_path):
 
 def test_catalogue_covers_the_reports():
     assert len(QUERIES) >= 26
+
+
+def test_rejected_lines_without_records_of_them_and_with_a_limit(spark):
+    plain = spark.createDataFrame([(1,)], "a int")
+    marked = spark.createDataFrame([(1, None), (2, "x,y")], f"a int, {files.CORRUPT} string")
+    rows = [files.rejected_lines(df, "t", most).first() for df in (plain, marked) for most in (None, 0, 1)]
+    assert [(r["violations"], r["passed"]) for r in rows] == [(0, True)] * 3 + [(1, True), (1, False), (1, True)]

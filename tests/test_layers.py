@@ -6,12 +6,12 @@ import __spark_entry__ as contract
 from oracle_check import connect, differences
 from ordermill.plans.kpis import DOMAINS
 from ordermill.plans.layers import build_gold, build_silver
-from ordermill.plans.warehouse import GOLD_TABLES, StoredWarehouse
+from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, StoredWarehouse
 from ordermill.sources.files import write_table
 from ordermill.sources.standin import raw_table
 from rows import dicts
 
-TABLES = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
+TABLES = list(CLEANERS)
 REPORTS = {name: query for queries in DOMAINS.values() for name, query in queries.items()}
 
 

@@ -62,8 +62,8 @@ def test_top_k_is_not_a_full_sort(spark, tiny, name):
 
 def test_history_sorts_the_pairs_once(spark, tiny):
     plan = physical_plan(spark, tiny, "seller_performance")
-    # One window over the pairs, and one over the totals of blocks.
-    assert plan.count("- Window [") == 2
+    # One window over the pairs, one over the totals of blocks and one over those of super-blocks.
+    assert plan.count("- Window [") == 3
     # The long side of the last join is the window itself: no exchange between them.
     top = plan.splitlines()[1:8]
     assert "SortMergeJoin" in top[0] and "Window [" in top[2]
