@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle import model
 from oracle.tables import with_tables
 
 _BODIES: dict[str, str] = {
@@ -9,6 +10,29 @@ _BODIES: dict[str, str] = {
     "clean_customers": "SELECT * FROM customers",
     "clean_sellers": "SELECT * FROM sellers",
     "clean_products": "SELECT * FROM products",
+    "clean_orders_from_text": """
+        SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
+               order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date,
+               datediff('day', order_purchase_timestamp, order_delivered_customer_date)::INTEGER
+                   AS delivery_duration_days,
+               datediff('day', order_estimated_delivery_date, order_delivered_customer_date)::INTEGER
+                   AS delivery_delay_days,
+               coalesce(datediff('day', order_estimated_delivery_date, order_delivered_customer_date) > 0, false)::INTEGER
+                   AS is_late
+        FROM (
+            SELECT order_id, customer_id, order_status, TRY_CAST(bought AS TIMESTAMP) AS order_purchase_timestamp,
+                   TRY_CAST(approved AS TIMESTAMP) AS order_approved_at,
+                   TRY_CAST(sent AS TIMESTAMP) AS order_delivered_carrier_date,
+                   TRY_CAST(arrived AS TIMESTAMP) AS order_delivered_customer_date,
+                   TRY_CAST(promised AS TIMESTAMP) AS order_estimated_delivery_date
+            FROM (
+                SELECT order_id, customer_id, order_status,
+                       CASE WHEN odd THEN 'soon' ELSE strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') END AS bought,
+                       CASE WHEN odd THEN 'soon' ELSE strftime(order_approved_at, '%Y-%m-%d %H:%M:%S') END AS approved,
+                       CASE WHEN odd THEN 'soon' ELSE strftime(order_delivered_carrier_date, '%Y-%m-%d %H:%M:%S') END AS sent,
+                       CASE WHEN odd THEN 'soon' ELSE strftime(order_delivered_customer_date, '%Y-%m-%d %H:%M:%S') END AS arrived,
+                       CASE WHEN odd THEN 'soon' ELSE strftime(order_estimated_delivery_date, '%Y-%m-%d %H:%M:%S') END AS promised
+                FROM (SELECT *, order_id % 89 = 0 AS odd FROM raw_orders)))""",
     "clean_orders": "SELECT * FROM clean_orders",
     "clean_order_items": "SELECT * FROM items",
     "clean_payments": "SELECT * FROM payments",
@@ -544,4 +568,4 @@ _BODIES["timeline_describe"] = " UNION ALL ".join(
     )
 )
 
-ORACLE: dict[str, str] = {name: with_tables(body) for name, body in _BODIES.items()}
+ORACLE: dict[str, str] = {name: with_tables(body) for name, body in _BODIES.items()} | model.ORACLE

@@ -25,19 +25,20 @@ CTES: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'processing' END
                    AS order_status,
-               o_orderdate AS order_purchase_timestamp,
-               o_orderdate + INTERVAL 1 DAY AS order_approved_at,
+               placed AS order_purchase_timestamp,
+               placed + INTERVAL 1 DAY AS order_approved_at,
                s AS order_delivered_carrier_date,
-               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(q::INTEGER) END
+               CASE WHEN o_orderstatus = 'F' THEN placed + to_days(q::INTEGER) END
                    AS order_delivered_customer_date,
-               o_orderdate + INTERVAL 48 DAY AS order_estimated_delivery_date
-        FROM orders LEFT JOIN (
+               placed + INTERVAL 48 DAY AS order_estimated_delivery_date
+        FROM (SELECT *, o_orderdate + to_hours(o_orderkey % 24) AS placed FROM orders) LEFT JOIN (
             SELECT l_orderkey, max(l_quantity) AS q, min(l_shipdate) AS s FROM lineitem GROUP BY l_orderkey
         ) ON o_orderkey = l_orderkey""",
     "raw_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
                l_suppkey AS seller_id, l_shipdate AS shipping_limit_date, l_extendedprice AS price,
-               round(l_extendedprice::DECIMAL(18, 2) * l_tax::DECIMAL(18, 2), 2)::DOUBLE AS freight_value
+               CASE WHEN l_orderkey % 97 = 0 THEN -1
+                    ELSE round(l_extendedprice::DECIMAL(18, 2) * l_tax::DECIMAL(18, 2), 2)::DOUBLE END AS freight_value
         FROM lineitem""",
     "raw_reviews": """
         SELECT event_id AS review_id, event_id AS order_id, (floor(value)::BIGINT % 5 + 1) AS review_score,

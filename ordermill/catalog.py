@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermill.functions.columns import report_round
 from ordermill.operators import profile, quality, risk
+from ordermill.operators.clean import clean_orders
 from ordermill.operators.suites import check_gold, check_silver
 from ordermill.plans.kpis import DOMAINS
 from ordermill.plans.warehouse import GOLD_TABLES, Warehouse
-from ordermill.sources.standin import raw_table
+from ordermill.sources.standin import orders_as_text, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +42,7 @@ def _on(build: Callable[[_Source], DataFrame]) -> Query:
 
 
 def _rounded(df: DataFrame, columns: list[str], places: int = 6) -> DataFrame:
-    """Means of doubles depend on summation order from about the 14th digit on; cut well before."""
+    """Means of doubles depend on summation order from about the 14th digit on, fitted weights from the 7th; cut before."""
     return df.withColumns({c: report_round(df[c], places) for c in columns})
 
 
@@ -61,6 +63,12 @@ def _cleaned(table: str) -> Query:
     return _on(lambda s: s.warehouse.silver(table))
 
 
+def _orders_from_text(s: _Source) -> DataFrame:
+    cleaned = clean_orders(orders_as_text(s.raw("orders")))
+    times = [f.name for f in cleaned.schema.fields if f.dataType.typeName() == "timestamp"]
+    return cleaned.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
 def _gold(table: str) -> Query:
     return _on(lambda s: getattr(s.warehouse, table))
 
@@ -106,20 +114,20 @@ def _training(s: _Source) -> DataFrame:
 def _scores(s: _Source) -> DataFrame:
     model = risk.train(_training(s))
     scored = risk.score(model, s.warehouse.delivery_features)
-    return scored.select("order_id", "late_probability", "late_prediction", "risk_label")
-
+    return _rounded(scored.select("order_id", "late_probability", "late_prediction", "risk_label"), ["late_probability"], 4)
 
-def _coefficients(s: _Source) -> DataFrame:
-    return risk.coefficients(s.spark, risk.train(_training(s)))
 
+def _coefficients(indicators: bool) -> Callable[[_Source], DataFrame]:
+    def fitted(s: _Source) -> DataFrame:
+        return _rounded(risk.coefficients(s.spark, risk.train(_training(s), indicators)), ["coefficient"], 4)
 
-def _indicator_coefficients(s: _Source) -> DataFrame:
-    return risk.coefficients(s.spark, risk.train(_training(s), indicators=True))
+    return fitted
 
 
 def _evaluation(s: _Source) -> DataFrame:
     earlier, later = risk.split_by_time(_training(s))
-    return risk.evaluate(risk.score(risk.train(earlier), later))
+    scored = risk.score(risk.train(earlier, stored=True), later)
+    return _rounded(risk.evaluate(scored, stored=True), ["roc_auc", "pr_auc", "brier_score"])
 
 
 PROFILES: dict[str, Callable[[_Source], DataFrame]] = {
@@ -187,13 +195,14 @@ MODEL: dict[str, Callable[[_Source], DataFrame]] = {
     ),
     "imputed_features": lambda s: risk.imputed_features(_training(s)),
     "risk_scores": _scores,
-    "risk_coefficients": _coefficients,
-    "risk_coefficients_with_indicators": _indicator_coefficients,
+    "risk_coefficients": _coefficients(False),
+    "risk_coefficients_with_indicators": _coefficients(True),
     "risk_evaluation": _evaluation,
 }
 
 QUERIES: dict[str, Query] = (
     {name: _cleaned(table) for name, table in _CLEAN.items()}
+    | {"clean_orders_from_text": _on(_orders_from_text)}
     | {table: _gold(table) for table in GOLD_TABLES}
     | {name: _kpi(query) for queries in DOMAINS.values() for name, query in queries.items()}
     | QUALITY

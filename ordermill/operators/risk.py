@@ -10,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.columns import share
 from ordermill.operators.quantiles import exact_quantiles
+from ordermill.operators.ranks import sums_before
 from ordermill.session import cut_lineage
 from ordermill.sources.files import write_json
 
@@ -127,20 +127,21 @@ def imputed_features(df: DataFrame) -> DataFrame:
 # --- training and scoring -------------------------------------------------------------------------
 
 
-def train(training: DataFrame, indicators: bool = False) -> PipelineModel:
+def train(training: DataFrame, indicators: bool = False, stored: bool = False) -> PipelineModel:
     """L2-regularised logistic regression with unit inverse strength and no class weights.
 
-    Spark averages the loss over rows, so an inverse strength of 1 is a penalty of 1 / rows. The
-    training set is checkpointed: preparation and every optimiser step read it again.
+    Spark averages the loss over rows, so an inverse strength of 1 is a penalty of 1 / rows. Preparation and
+    every optimiser step read the training set again, so it is checkpointed unless it is ``stored`` already.
     """
-    rows = cut_lineage(training.select(*FEATURES, F.col(TARGET).cast("double").alias(TARGET)))
+    rows = training.select(*FEATURES, F.col(TARGET).cast("double").alias(TARGET))
+    rows = rows if stored else cut_lineage(rows)
     preparation = fit_preparation(rows, FEATURES, indicators=indicators)
     assembler = VectorAssembler(inputCols=preparation.outputs, outputCol="features")
     prepared = assembler.transform(preparation.stage.transform(rows)).select("features", TARGET)
     regression = LogisticRegression(
         labelCol=TARGET,
         maxIter=MAX_ITERATIONS,
-        tol=1e-9,
+        tol=1e-12,
         regParam=1.0 / max(rows.count(), 1),
         elasticNetParam=0.0,
         standardization=False,
@@ -194,29 +195,48 @@ def split_by_time(training: DataFrame, earlier_share: float = 0.8) -> tuple[Data
     return stored.filter(early).drop("_seconds"), stored.filter(~early).drop("_seconds")
 
 
-def evaluate(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def areas(scored: DataFrame) -> DataFrame:
+    """``roc_auc`` and ``pr_auc`` of rows with ``label`` (0 or 1) and ``late_probability``; NULL where undefined.
+
+    Every different probability is one step of both curves, from the highest down; all rows that share it are
+    taken at once. Both areas are trapezoids between steps; precision before the first step is that of the first.
+    """
+    steps = scored.groupBy("late_probability").agg(
+        F.count_if(F.col("label") == 1).alias("late"), F.count_if(F.col("label") == 0).alias("rest")
+    )
+    placed = sums_before(steps, F.col("late_probability").desc(), ["late", "rest"])
+    late_before, rest_before = F.col("before_late").cast("double"), F.col("before_rest").cast("double")
+    late_after, rest_after = late_before + F.col("late"), rest_before + F.col("rest")
+    precision = late_after / (late_after + rest_after)
+    precision_before = F.coalesce(F.try_divide(late_before, late_before + rest_before), precision)
+    sums = placed.agg(
+        F.sum(F.col("rest") * (late_before + late_after) / 2).alias("wins"),
+        F.sum(F.col("late") * (precision_before + precision) / 2).alias("held"),
+        F.sum("late").cast("double").alias("late"),
+        F.sum("rest").cast("double").alias("rest"),
+    )
+    return sums.select(
+        F.try_divide(F.col("wins"), F.col("late") * F.col("rest")).alias("roc_auc"),
+        F.try_divide(F.col("held"), F.col("late")).alias("pr_auc"),
+    )
+
+
+def evaluate(scored: DataFrame, threshold: float = THRESHOLD, stored: bool = False) -> DataFrame:
     """One row of metrics for scored rows with a label.
 
-    Threshold metrics are one aggregate. The areas under the curves come from Spark's evaluator
-    without binning; its precision-recall area is trapezoidal.
+    Threshold metrics are one aggregate; the areas under the curves come from exact ranks. Both read the rows,
+    which are checkpointed unless what they were scored from is ``stored`` already.
     """
     rows = scored.select(F.col(TARGET).cast("double").alias("label"), "late_probability")
-    stored = cut_lineage(rows)
+    rows = rows if stored else cut_lineage(rows)
     flagged = F.col("late_probability") >= threshold
     late = F.col("label") == 1
     total, positives = F.count(F.lit(1)), F.count_if(late)
     hits, raised = F.count_if(flagged & late), F.count_if(flagged)
     precision, recall = share(hits, raised), share(hits, positives)
-    areas = {
-        name: BinaryClassificationEvaluator(
-            rawPredictionCol="late_probability", labelCol="label", metricName=metric, numBins=0
-        ).evaluate(stored)
-        for name, metric in (("roc_auc", "areaUnderROC"), ("pr_auc", "areaUnderPR"))
-    }
-    return stored.agg(
+    counted = rows.agg(
         total.alias("rows"),
         positives.alias("late_orders"),
-        *[F.lit(float(area)).alias(name) for name, area in areas.items()],
         precision.alias("precision"),
         recall.alias("recall"),
         share(2 * hits, raised + positives).alias("f1"),
@@ -224,6 +244,10 @@ def evaluate(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         share(raised, total).alias("flagged_rate"),
         F.try_divide(precision, share(positives, total)).alias("lift"),
     )
+    # Two tables of one row each.
+    together = counted.withColumn("_one", F.lit(1)).join(areas(rows).withColumn("_one", F.lit(1)), "_one")
+    order = ["rows", "late_orders", "roc_auc", "pr_auc", "precision", "recall", "f1", "brier_score", "flagged_rate", "lift"]
+    return together.select(*order)
 
 
 # --- metadata -------------------------------------------------------------------------------------

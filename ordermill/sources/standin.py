@@ -59,7 +59,7 @@ def _orders(read) -> DataFrame:
         .agg(F.max("l_quantity").alias("q"), F.min("l_shipdate").alias("s"))
     )
     status = F.col("o_orderstatus")
-    placed = F.col("o_orderdate")
+    placed = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
     return (
         read("orders")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -80,6 +80,7 @@ def _orders(read) -> DataFrame:
 
 
 def _order_items(read) -> DataFrame:
+    """Some orders have only items with a negative freight value."""
     # Whole cents times whole percent, rounded half up: exact decimal arithmetic in integers.
     freight = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * F.rint(F.col("l_tax") * 100).cast("bigint")
     return read("lineitem").select(
@@ -89,7 +90,9 @@ def _order_items(read) -> DataFrame:
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
-        (F.floor((freight + 50) / 100) / F.lit(100.0)).alias("freight_value"),
+        F.when(F.col("l_orderkey") % 97 == 0, -1.0)
+        .otherwise(F.floor((freight + 50) / 100) / F.lit(100.0))
+        .alias("freight_value"),
     )
 
 
@@ -154,5 +157,14 @@ _TABLES = {
 }
 
 
+def orders_as_text(orders: DataFrame) -> DataFrame:
+    """The orders with times as a CSV scan without types gives them; some can't be read."""
+    times = [f.name for f in orders.schema.fields if f.dataType.typeName().startswith("timestamp")]
+    odd = F.col("order_id") % 89 == 0
+    return orders.withColumns(
+        {c: F.when(odd, "soon").otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss")) for c in times}
+    )
+
+
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[name](lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))

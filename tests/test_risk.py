@@ -101,6 +101,28 @@ def test_evaluation_matches_a_plain_count(spark):
     assert got["roc_auc"] == pytest.approx(wins / 8)
 
 
+def test_areas_take_equal_scores_at_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(y), float(p)) for y, p in zip(rng.random(3000) < 0.2, rng.integers(0, 40, 3000) / 40)]
+    got = risk.areas(spark.createDataFrame(rows, "label int, late_probability double").repartition(7)).first()
+    late, rest = [p for y, p in rows if y], [p for y, p in rows if not y]
+    wins = sum((a > b) + (a == b) / 2 for a in late for b in rest)
+    assert got["roc_auc"] == pytest.approx(wins / len(late) / len(rest), abs=1e-12)
+    points, area = [], 0.0
+    for p in sorted({p for _, p in rows}, reverse=True):
+        hits, raised = sum(x >= p for x in late), sum(x >= p for _, x in rows)
+        points.append((hits / len(late), hits / raised))
+    for (r0, p0), (r1, p1) in zip([(0.0, points[0][1]), *points], points):
+        area += (r1 - r0) * (p0 + p1) / 2
+    assert got["pr_auc"] == pytest.approx(area, abs=1e-12)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 0.5)], [(0, 0.5), (0, 0.5)]])
+def test_areas_without_both_outcomes_are_unknown(spark, rows):
+    got = risk.areas(spark.createDataFrame(rows, "label int, late_probability double")).first()
+    assert got["roc_auc"] is None and (got["pr_auc"] is None) == (not rows or not rows[0][0])
+
+
 def test_time_split_keeps_every_row_once(training):
     early, late = risk.split_by_time(training, 0.75)
     assert (early.count(), late.count()) == (300, 100)
