@@ -46,7 +46,7 @@ class Aligner:
     """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a_width, self.a_ids = _ids_of(a_path)
+        self.a_width, self.a_ids = _ids_of(a_path, added=False)
         if self.a_width is None:
             raise ValueError(f"not a byte-level tokenizer with ranked merges: {a_path}")
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)

@@ -1,10 +1,15 @@
-"""Links between texts that share most of their shingles, exactly.
-
-If two sets have a Jaccard similarity of 0.8 or more, they share one of the first shingles of each in any
-order that both follow: of ``n`` shingles, the first ``n - ceil(0.8 n) + 1``. Here shingles that are frequent in
-a sample come last, so texts with a common passage don't meet by it. Texts that meet are first compared with
-their neighbours at each shingle, which joins large groups of near copies; then all pairs that meet and are
-still apart are compared. Every comparison uses the whole sets.
+"""Links between texts that share most of their shingles.
+
+Texts meet where they agree in one of ``MEETINGS`` smallest hashes of their shingles, each under an order of its
+own; two texts with a Jaccard similarity of 0.8 miss each other in all of them once in 250 million times, more
+similar ones more rarely. Only a sketch travels to the meeting: a bit for each slot of shingle hashes, turned
+over by every shingle that falls there. Bits that differ are shingles that differ, so a pair whose sketches
+differ in more bits than similar texts of their sizes may is no link, for certain. The others are compared by
+whole sets, which are made for the texts of such pairs only.
+
+A pair is put out only while its texts are apart. First every text goes with the first text of each meeting
+that its sketch allows, twice, which joins groups of near copies; then all pairs still apart and allowed.
+A meeting of very many texts is dealt into pairs of blocks, so that no task holds all of it.
 """
 
 from __future__ import annotations
@@ -17,14 +22,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import slices, stored
+from ordermill.llm.common import slices, stored, written
 from ordermill.llm.components import components
 
 SEED = 42
-#: Texts that frequent shingles are looked for in, and frequent shingles at most.
-SAMPLE_TEXTS = 2000
-MOST_FREQUENT = 50_000
-_PAIRS_AT_A_TIME = 1 << 16
+MEETINGS = 12
+#: Texts of a meeting that are compared in one place.
+BLOCK = 2048
+#: Bits of a sketch, at least and at most; in between, the next power of two from the number of shingles on.
+LEAST_BITS, MOST_BITS = 256, 1 << 14
+_FACTORS = (np.random.default_rng(SEED).integers(0, 1 << 63, MEETINGS, np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -44,116 +51,167 @@ def are_alike(x: np.ndarray, y: np.ndarray) -> bool:
     return 5 * both >= 4 * (len(x) + len(y) - both)
 
 
-def _sets(texts: DataFrame, words: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                found = [shingles(t or "", words).tobytes() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found, pa.binary())], names=["id", "found"])
+def sketch(found: np.ndarray) -> bytes:
+    """Parities of the shingles in each slot."""
+    bits = min(max(LEAST_BITS, 1 << max(len(found) - 1, 0).bit_length()), MOST_BITS)
+    odd = np.bincount((found >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
 
-    return texts.select("id", "text").mapInArrow(run, "id long, found binary")
 
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, a row each, with fewer slots."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
 
-def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample have, sorted, and how many."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in batch.column("found").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, np.int64))], names=["shingle"])
+def meeting_hashes(found: np.ndarray) -> np.ndarray:
+    """The smallest hash under each order, made different between the orders."""
+    mixed = found[None, :] * _FACTORS[:, None]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed.min(axis=1) ^ _FACTORS
+
 
-    last = sets.select(F.xxhash64("id").alias("h")).orderBy("h").limit(SAMPLE_TEXTS).agg(F.max("h")).first()[0]
-    if last is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    counts = sets.filter(F.xxhash64("id") <= F.lit(last)).select("found").mapInArrow(run, "shingle long").groupBy("shingle").count()
-    rows = counts.filter("count > 2").orderBy(F.desc("count"), "shingle").limit(MOST_FREQUENT).collect()
-    rows.sort()
-    return np.array([r["shingle"] for r in rows], np.int64), np.array([r["count"] for r in rows], np.int64)
+def _new_rows(part: pa.RecordBatch, seen: set[int]) -> list[tuple[int, str]]:
+    """Ids that the task hasn't met (or hasn't met for long), with their texts."""
+    rows = []
+    for id_, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True):
+        if id_ not in seen:
+            if len(seen) > 1_000_000:
+                seen.clear()
+            seen.add(id_)
+            rows.append((id_, text or ""))
+    return rows
 
 
-def _firsts(sets: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``shingle``, ``n``, ``id``, ``root``: the first shingles of each set."""
-    known, counts = frequent
+def _meetings(texts: DataFrame, words: int) -> DataFrame:
+    """``value``, ``n``, ``id``, ``sketch``; a text that a task meets again is put out once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                first, sizes = [], []
-                for s in part.column("found").to_pylist():
-                    own = np.frombuffer(s, np.int64)
-                    if len(own) and len(known):
-                        place = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                        often = np.where(known[place] == own, counts[place], 0)
-                        own = own[np.lexsort((own, often))]
-                    first.append(own[: len(own) - -(-4 * len(own) // 5) + 1])
-                    sizes.append(len(own))
-                many = [len(x) for x in first]
-                columns = [np.concatenate(first), np.repeat(np.array(sizes, np.int64), many)]
-                columns += [np.repeat(part.column(c).to_numpy(), many) for c in ("id", "root")]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "n", "id", "root"])
-
-    return sets.select("id", "root", "found").mapInArrow(run, "shingle long, n long, id long, root long")
-
-
-def _by_shingle(firsts: DataFrame, found, fields: str) -> DataFrame:
-    """What ``found`` yields for the rows of whole shingles, in order of shingle, size and id."""
+            for part in slices(batch):
+                rows = []
+                for id_, text in _new_rows(part, seen):
+                    found = shingles(text, words)
+                    if len(found):
+                        rows.append((meeting_hashes(found).view(np.int64), len(found), id_, sketch(found)))
+                if rows:
+                    values, n, ids, sketches = zip(*rows, strict=True)
+                    each = np.repeat(np.arange(len(rows)), MEETINGS)
+                    columns = [pa.array(np.concatenate(values)), pa.array(np.array(n, np.int64)[each])]
+                    columns += [pa.array(np.array(ids, np.int64)[each]), pa.array(sketches, pa.binary()).take(pa.array(each))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["value", "n", "id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "value long, n long, id long, sketch binary")
+
+
+def _in_blocks(met: DataFrame) -> DataFrame:
+    """Rows by ``value``, ``low`` and ``high``: blocks of a meeting that are to be compared, and the row's ``block``."""
+    many = met.groupBy("value").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > BLOCK)
+    many = many.select("value", F.ceil(F.col("texts") / BLOCK).cast("int").alias("blocks"))
+    dealt = met.join(many, "value", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("value", "n", "id", "root", "sketch", "block", others)
+    return dealt.select(
+        "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "n", "id", "root", "sketch"
+    )
+
+
+def _allowed(n: np.ndarray, sketches: list[bytes], rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether the sketches of ``rows`` and ``others`` leave a similarity of 0.8 possible, as a matrix."""
+    possible = np.zeros((len(rows), len(others)), bool)
+    widths = np.array([len(s) for s in sketches])
+    for a in np.unique(widths[rows]):
+        for b in np.unique(widths[others]):
+            if max(a, b) > 2 * min(a, b):
+                continue
+            i, j = rows[widths[rows] == a], others[widths[others] == b]
+            width = int(min(a, b))
+            x = _folded(np.frombuffer(b"".join([sketches[k] for k in i]), np.uint8).reshape(len(i), a), width).view(np.uint64)
+            y = _folded(np.frombuffer(b"".join([sketches[k] for k in j]), np.uint8).reshape(len(j), b), width).view(np.uint64)
+            apart = np.zeros((len(i), len(j)), np.int64)
+            for word in range(x.shape[1]):
+                apart += np.bitwise_count(x[:, word, None] ^ y[None, :, word])
+            sizes, other_sizes = n[i][:, None], n[j][None, :]
+            fits = (9 * apart <= sizes + other_sizes) & (5 * sizes >= 4 * other_sizes) & (5 * other_sizes >= 4 * sizes)
+            possible[np.ix_(widths[rows] == a, widths[others] == b)] = fits
+    return possible
+
+
+def _pairs(dealt: DataFrame, every: bool) -> DataFrame:
+    """``u``, ``v`` of texts that meet, are apart and may be alike: all such pairs, or each text with the first such."""
+
+    def compared(n, ids, roots, sketches, blocks, low, high) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
+        for at in range(0, len(right), 256):
+            rows = right[at : at + 256]
+            fits = _allowed(n, sketches, rows, left)
+            fits &= roots[rows][:, None] != roots[left][None, :]
+            if low == high:
+                fits &= left[None, :] < rows[:, None]
+            if not every:
+                first = np.argmax(fits, axis=1)
+                i = np.flatnonzero(fits[np.arange(len(rows)), first])
+                yield ids[rows[i]], ids[left[first[i]]]
+            else:
+                i, j = np.nonzero(fits)
+                yield ids[rows[i]], ids[left[j]]
+
+    def met(key: tuple, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts)
+        ids = table.column("id").to_numpy()
+        # Copies that came from several tasks stand side by side.
+        new = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        roots = table.column("root").to_numpy()[new]
+        if (roots == roots[0]).all():
+            return
+        table = table.take(pa.array(new))
+        n, blocks = table.column("n").to_numpy(), table.column("block").to_numpy()
+        for u, v in compared(n, ids[new], roots, table.column("sketch").to_pylist(), blocks, *key[1:]):
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
+        names = ["value", "low", "high"]
+        held, key = [], None
         for batch in batches:
-            if batch.num_rows:
-                now = [batch.column(c).to_numpy() for c in ("shingle", "n", "id", "root")]
-                held = [np.concatenate(x) for x in zip(held, now, strict=True)]
-                cut = np.searchsorted(held[0], held[0][-1])
-                if cut:
-                    yield from found(*(x[:cut] for x in held))
-                held = [x[cut:] for x in held]
-        if len(held[0]):
-            yield from found(*held)
-
-    return firsts.repartition("shingle").sortWithinPartitions("shingle", "n", "id").mapInArrow(run, fields)
-
-
-def _met(shingle: np.ndarray, n: np.ndarray, id_: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of shingles that texts apart share, each with the row before it."""
-    same = shingle[1:] == shingle[:-1]
-    apart = same & (root[1:] != root[:-1])
-    several = np.unique(shingle[1:][apart])
-    kept = np.isin(shingle, several)
-    before, before_n = np.r_[0, id_[:-1]], np.r_[0, n[:-1]]
-    near = np.r_[False, apart & (5 * n[:-1] >= 4 * n[1:])]
-    columns = [pa.array(c[kept]) for c in (shingle, n, id_, root)] + [pa.array(before[kept], mask=~near[kept])]
-    yield pa.RecordBatch.from_arrays(columns, names=["shingle", "n", "id", "root", "before"])
-
-
-def _all_apart(shingle: np.ndarray, n: np.ndarray, id_: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """All pairs of a shingle that are apart and near enough in size."""
-    first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-    found, size = [], 0
-
-    def batch() -> pa.RecordBatch:
-        u, v = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
-    for a, z in zip(first.tolist(), [*first[1:].tolist(), len(shingle)], strict=True):
-        if (root[a:z] == root[a]).all():
-            continue
-        for i in range(a + 1, z):
-            from_ = a + int(np.searchsorted(n[a:i], -(-4 * n[i] // 5)))
-            others = id_[from_:i][root[from_:i] != root[i]]
-            if len(others):
-                found.append((np.minimum(others, id_[i]), np.maximum(others, id_[i])))
-                size += len(others)
-            if size >= _PAIRS_AT_A_TIME:
-                yield batch()
-                found, size = [], 0
-    if found:
-        yield batch()
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``u``, ``v``: roots of the pairs whose sets are alike."""
+            columns = [batch.column(c).to_numpy() for c in names]
+            cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1 if batch.num_rows else []
+            for s, e in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if s == e:
+                    continue
+                now = tuple(int(c[s]) for c in columns)
+                if now != key and held:
+                    if sum(h.num_rows for h in held) > 1:
+                        yield from met(key, held)
+                    held = []
+                key = now
+                held.append(batch.slice(s, e - s))
+        if held:
+            yield from met(key, held)
+
+    keys = ["value", "low", "high"]
+    ordered = dealt.repartition(*keys).sortWithinPartitions(*keys, "n", "id")
+    return ordered.mapInArrow(run, "u long, v long").distinct()
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """The pairs whose whole sets are alike. Sets are made for texts of pairs only, one for equal texts."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for part in slices(batch):
+                rows = _new_rows(part, seen)
+                if rows:
+                    found = [shingles(t, words).tobytes() for _, t in rows]
+                    columns = [pa.array([i for i, _ in rows], pa.int64()), pa.array(found, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "found"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,24 +219,34 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [are_alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)) for a, b in zip(x, y, strict=True)]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("id").alias("u"), F.col("root").alias("ru"), "found")
-    two = sets.select(F.col("id").alias("v"), F.col("root").alias("rv"), F.col("found").alias("other"))
-    both = pairs.distinct().join(one, "u").join(two, "v")
-    return both.select(F.col("ru").alias("u"), F.col("rv").alias("v"), "found", "other").mapInArrow(run, "u long, v long")
+    named = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
+    wanted = texts.join(named, "id").select("id", "text").mapInArrow(made, "id long, found binary")
+    sets = stored(wanted.groupBy("id").agg(F.first("found").alias("found")))
+    both = pairs.join(sets.select(F.col("id").alias("u"), "found"), "u")
+    both = both.join(sets.select(F.col("id").alias("v"), F.col("found").alias("other")), "v")
+    return both.select("u", "v", "found", "other").mapInArrow(run, "u long, v long")
 
 
 def links(texts: DataFrame, roots: DataFrame, words: int) -> DataFrame:
-    """``u``, ``v``: links that connect the roots of all texts with a similarity of 0.8 or more.
+    """``u``, ``v``: links that connect the roots of texts with a similarity of 0.8 or more.
 
     ``texts`` has ``id`` (the same for equal texts) and ``text``, ``roots`` one ``root`` for each ``id``. A text
-    without a word is like no other.
+    without a word, null or empty, is like no other; one with fewer words than a shingle is like those with the same
+    words. Copies and repeated rows are compared once; very long texts are compared whole; ties in size are ordered
+    by id. An empty table gives no links; further columns are ignored.
     """
-    sets = _sets(texts, words).groupBy("id").agg(F.first("found").alias("found"))
-    sets = stored(sets.join(roots, "id"))
-    met = stored(_by_shingle(_firsts(sets, _frequent(sets)), _met, "shingle long, n long, id long, root long, before long"))
-    near = met.filter("before IS NOT NULL").select(F.least("id", "before").alias("u"), F.greatest("id", "before").alias("v"))
-    linked = stored(_alike(near, sets).distinct())
-    joined = stored(components(linked)).select("node", F.col("root").alias("into"))
-    rest = met.join(joined, met["root"] == joined["node"], "left").select("shingle", "n", "id", F.coalesce("into", "root").alias("root"))
-    more = _alike(_by_shingle(rest, _all_apart, "u long, v long"), sets)
-    return linked.unionByName(more).distinct()
+    texts = texts.select("id", "text")
+    every = written(_meetings(texts, words), "meetings")
+    several = every.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("value")
+    met = stored(every.join(several, "value").join(roots, "id").select("value", "n", "id", "root", "sketch"))
+    found = roots.select(F.col("root").alias("u"), F.col("root").alias("v")).limit(0)
+    now = met
+    for all_pairs in (False, False, True):
+        alike = _alike(stored(_pairs(_in_blocks(now), all_pairs)), texts, words)
+        rooted = alike.join(roots.select(F.col("id").alias("u"), F.col("root").alias("ru")), "u")
+        rooted = rooted.join(roots.select(F.col("id").alias("v"), F.col("root").alias("rv")), "v")
+        found = found.unionByName(stored(rooted.select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct()))
+        if not all_pairs:
+            joined = stored(components(found)).select(F.col("node").alias("root"), F.col("root").alias("into"))
+            now = met.join(joined, "root", "left").withColumn("root", F.coalesce("into", "root")).drop("into")
+    return found.distinct()

@@ -31,11 +31,13 @@ from ordermill.llm.common import UnitCache, environment_for_tokenizers, slices,
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _ids_of(tokenizer_path: str):
-    """Bytes of each id (or None), and a function from texts to id arrays, without special tokens.
+def _ids_of(tokenizer_path: str, added: bool = True):
+    """Bytes of each id (or None), and a function from texts to id arrays; nothing is put around a text.
 
-    Where the file ranks its merges in the order of their ids, as byte-level vocabularies do, its
-    vocabulary goes to the rank-based library, which gives the same ids several times faster.
+    A string of an added token (``<|endoftext|>``) in a text becomes that token, as in the library, unless
+    ``added`` is false: then it is plain text. Where the file ranks its merges in the order of their ids, as
+    byte-level vocabularies do, its vocabulary goes to the rank-based library, which gives the same ids several
+    times faster.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         described = json.load(file)
@@ -44,20 +46,30 @@ def _ids_of(tokenizer_path: str):
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     made = [vocabulary[a + b] for a, b in merges]
     plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+    tokens = {t["content"]: t["id"] for t in described["added_tokens"]}
+    # Tokens that reach beyond their own characters are left to the library.
+    plain = plain and not any(t[f] for t in described["added_tokens"] for f in ("lstrip", "rstrip", "single_word"))
     if plain and not described.get("normalizer") and all(a < b for a, b in zip(made, made[1:], strict=False)):
         points = [*range(33, 127), *range(161, 173), *range(174, 256)]
         letters = {chr(b): b for b in points}
         letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in points)}
-        special = {t["content"] for t in described["added_tokens"]}
-        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in special}
-        library = tiktoken.Encoding(tokenizer_path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        width = np.zeros(max(ranks.values()) + 1, np.int64)
-        width[list(ranks.values())] = [len(t) for t in ranks]
-        return width, lambda texts: [np.array(library.encode_ordinary(t), "<u4") for t in texts]
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if t not in tokens}
+        special = tokens if added else {}
+        library = tiktoken.Encoding(tokenizer_path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        lengths = {i: len(t) for t, i in ranks.items()} | {i: len(t.encode("utf-8")) for t, i in special.items()}
+        width = np.zeros(max(lengths) + 1, np.int64)
+        width[list(lengths)] = list(lengths.values())
+
+        def encoded(text: str) -> list[int]:
+            if any(t in text for t in special):
+                return library.encode(text, allowed_special="all", disallowed_special=())
+            return library.encode_ordinary(text)
+
+        return width, lambda texts: [np.array(encoded(t), "<u4") for t in texts]
 
     environment_for_tokenizers()
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added
     return None, lambda texts: [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 

@@ -27,10 +27,11 @@ RANGES = 1024
 TOLERANCE = 0.0005
 #: A group of copies is set apart if leaving it at its place would put a cut off by this part of a shard.
 GROUP_SHIFT = 0.01
-#: At most so many groups are set apart in a node; a search that goes on could only be after single rows.
-MOST_APART = 4
+#: Once so many groups are set apart in a node, only those that put a cut off by a larger part are.
+FEW_APART = 4
+LATER_SHIFT = 0.04
 #: A group may make a side heavier than its share by this part of a shard.
-GROUP_EXCESS = 0.1
+GROUP_EXCESS = 0.04
 _HASH_BITS = 31
 
 
@@ -158,7 +159,7 @@ def _narrowed(s: _Search, ranges: list, shard: float) -> _Search | None:
             return replace(s, low=low, high=high, below=below)
         if s.only_key is not None:
             s.node.order_cut = cut
-        elif low != high or off <= GROUP_SHIFT * shard or len(s.node.apart) == MOST_APART:
+        elif low != high or off <= (GROUP_SHIFT if len(s.node.apart) < FEW_APART else LATER_SHIFT) * shard:
             s.node.cut = cut
         else:
             return _set_apart(s, low, bytes_, below, shard)

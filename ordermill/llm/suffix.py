@@ -126,10 +126,14 @@ def _found_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _texts_with_key(docs: DataFrame, *others: str) -> DataFrame:
-    """Rows are told apart by ``doc_id`` and, where it is null or repeated, a checksum of the text."""
+    """Rows are told apart by ``doc_id`` and, where it is null or repeated, 126 bits that a text is digested to.
+
+    A null id takes half of the digest in its place; the lowest bit of ``check`` tells null ids from others.
+    """
+    half = F.xxhash64(F.lit(1), "text")
     return whole_texts(docs, *others).select(
-        F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
-        (F.crc32("text") * 2 + F.isnull("doc_id").cast("int")).alias("check"),
+        F.coalesce(F.col("doc_id").cast("long"), half).alias("id"),
+        F.shiftleft(F.xxhash64(F.lit(2), "text"), 1).bitwiseOR(F.isnull("doc_id").cast("long")).alias("check"),
         "doc_id",
         *others,
         "text",

@@ -1,7 +1,11 @@
 import random
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from ordermill.llm import simhash
+from ordermill.llm import alike, simhash
 from tests.llm.rows import ODD_TEXTS, documents, words
 from tests.llm.test_simhash import plain_fingerprint
 
@@ -52,3 +56,84 @@ def test_odd_texts(spark):
     same = [" ".join((t or "").encode().lower().decode().split(" ")) for t in texts]
     assert kept and len(kept) <= len(set(same))
     assert kept == sorted(set(kept)) and simhash.one_of_each(documents(spark, []), alike_words=5).collect() == []
+
+
+def linked(spark, texts, ids=None):
+    """Components of texts by the links alone."""
+    rows = list(zip(ids or range(len(texts)), texts))
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "id long, text string, root int, sketch int").repartition(4)
+    roots = df.select("id", F.col("id").alias("root")).distinct()
+    root = {i: i for i, _ in rows}
+    for u, v in alike.links(df, roots, 5).collect():
+        a, b = sorted((root[u], root[v]))
+        root = {k: a if r == b else r for k, r in root.items()}
+    return root
+
+
+def plainly_linked(texts):
+    sets, root = [plain_shingles(t) for t in texts], list(range(len(texts)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if x | y and 5 * len(x & y) >= 4 * len(x | y):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return dict(enumerate(root))
+
+
+def templates(n, changed, seed=0):
+    """Texts of one form, each with its own words in some places."""
+    r = random.Random(seed)
+    form = words(77, 400).split()
+    texts = []
+    for _ in range(n):
+        text = list(form)
+        for i in r.sample(range(len(form)), changed):
+            text[i] = f"own{r.randrange(10**9)}"
+        texts.append(" ".join(text))
+    return texts
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_texts_of_one_form_that_all_meet(spark, monkeypatch, block):
+    monkeypatch.setattr(alike, "BLOCK", block)
+    texts = templates(60, 9) + templates(40, 3, 1) + [words(i, 300) for i in range(20)]
+    assert linked(spark, texts) == plainly_linked(texts)
+
+
+def test_texts_of_one_form_below_the_similarity_are_no_pairs(spark):
+    texts = templates(300, 10)
+    met = alike._meetings(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 5)
+    pairs = alike._pairs(alike._in_blocks(met.withColumn("root", F.col("id"))), True)
+    assert pairs.count() < 5 * len(texts)
+
+
+def test_repeated_rows_nulls_and_short_texts(spark):
+    texts = [words(1, 200), words(1, 200), None, "", "a b", "A  b", "a b c", words(2, 2000), words(2, 2000) + " end"]
+    ids = [0, 0, 2, 3, 4, 5, 6, 7, 8]
+    root = linked(spark, texts, ids)
+    assert (root[5], root[8]) == (4, 7) and len(set(root.values())) == 6
+    assert linked(spark, texts[:1]) == {0: 0}
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    r = np.random.default_rng(3)
+    for n in (5, 255, 256, 257, 900, 40_000):
+        x = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        y = np.unique(np.append(x[n // 9 :], r.integers(0, 1 << 63, n // 5).astype(np.uint64)))
+        sizes = np.array([len(x), len(y)])
+        near = alike.are_alike(x, y)
+        both = [alike.sketch(x), alike.sketch(y)]
+        allowed = alike._allowed(sizes, both, np.array([0]), np.array([1]))[0, 0]
+        assert allowed or not near
+        wide = [np.frombuffer(s, np.uint8)[None, :] for s in both]
+        width = min(w.shape[1] for w in wide)
+        a, b = (alike._folded(w, width) for w in wide)
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+
+
+def test_clashing_columns_and_null_ids(spark):
+    rows = [(None, words(5, 90)), (None, words(5, 90) + " x"), (4, words(6, 90)), (4, words(6, 90))]
+    docs = spark.createDataFrame([(*r, 7, 8, "z") for r in rows], "doc_id long, text string, id int, value int, root string")
+    kept = simhash.one_of_each(docs, alike_words=5).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["4", "None"]
+    assert kept[0].asDict().keys() == set(docs.columns)

@@ -16,9 +16,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(TOKENIZER)
 
 
 @pytest.mark.parametrize("capacity", [16, 1024])
@@ -65,6 +63,15 @@ def test_units_are_encoded_as_by_the_library(library):
             assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_strings_of_added_tokens_are_those_tokens(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> \n<|endoftext|><|endoftext|>x", "a  <|endoftext|>  b c"]
+    rows = packing.token_pieces(documents(spark, texts), TOKENIZER, 2, 1024).collect()
+    ids = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() if isinstance(r["ids"], (bytes, bytearray)) else r["ids"] for r in rows}
+    assert ids[0] == [64, 50256, 65, 2] and ids[1] == [50256, 2]
+    plain = Tokenizer.from_file(TOKENIZER)
+    assert all(ids[i] == [*plain.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts))
+
+
 def test_fullest_is_the_best_sum():
     r = random.Random(5)
     for _ in range(200):

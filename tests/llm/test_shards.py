@@ -44,6 +44,14 @@ def test_a_third_of_all_rows_in_one_group(spark):
     assert all(len(s) == 1 for s in where.values())
 
 
+@pytest.mark.parametrize("groups", [7, 9])
+def test_many_equal_groups_of_copies(spark, groups):
+    texts = [words(i, 40)[:150].ljust(150, "x") for i in range(groups)] * 300
+    rows = shards.shard_documents(documents(spark, texts), 24).collect()
+    mean = sum(r["size"] for r in rows) / 24
+    check(rows, texts, 24, 0.05 * mean)
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a"), (None, "a"), (1, None), (1, None), (1, "b")], "doc_id long, text string")
     rows = shards.shard_documents(docs, 3).collect()

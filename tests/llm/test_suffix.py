@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import pytest
@@ -63,6 +64,20 @@ def test_rows_that_repeat_and_null_ids(spark):
     assert suffix.removal_report(docs.limit(0)).collect() == []
 
 
+def test_equal_checksums_tell_nothing(spark):
+    shared, other = words(11, 80), words(12, 80)
+    r = random.Random(8)
+    ends = [["".join(r.choices("abcdefghijklmnop", k=n)) for _ in range(200_000)] for n in (12, 13)]
+    by_sum = {zlib.crc32(e.encode(), zlib.crc32(shared.encode())): e for e in ends[0]}
+    start = zlib.crc32(other.encode())
+    end = next(e for e in ends[1] if zlib.crc32(e.encode(), start) in by_sum)
+    texts = [shared + by_sum[zlib.crc32(end.encode(), start)], other + end]
+    assert zlib.crc32(texts[0].encode()) == zlib.crc32(texts[1].encode())
+    docs = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (3, shared)], "doc_id long, text string")
+    gone = {r["n_bytes"]: r["n_removed"] for r in suffix.removal_report(docs).collect()}
+    assert gone[len(texts[1].encode())] == 0 and gone[len(texts[0].encode())] == len(shared.encode())
+
+
 def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
     monkeypatch.setattr(suffix, "_CHUNK", 700)
     texts = [words(1, 2000), words(2, 500) + words(1, 2000)[3000:5000], words(3, 900)]
