@@ -109,14 +109,18 @@ def _meetings(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "value long, n long, id long, sketch binary")
 
 
-def _in_blocks(met: DataFrame) -> DataFrame:
-    """Rows by ``value``, ``low`` and ``high``: blocks of a meeting that are to be compared, and the row's ``block``."""
+def _in_blocks(met: DataFrame, every: bool) -> DataFrame:
+    """Rows by ``value``, ``low`` and ``high``: blocks of a meeting that are to be compared, and the row's ``block``.
+
+    A text is in other company in each meeting. With ``every``, each block of a meeting goes with each other; else
+    only with itself, so every row is dealt once.
+    """
     many = met.groupBy("value").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > BLOCK)
     many = many.select("value", F.ceil(F.col("texts") / BLOCK).cast("int").alias("blocks"))
     dealt = met.join(many, "value", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("value", "n", "id", "root", "sketch", "block", others)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", "value"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if every else F.col("block")
+    dealt = dealt.select("value", "n", "id", "root", "sketch", "block", others.alias("other"))
     return dealt.select(
         "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "n", "id", "root", "sketch"
     )
@@ -242,7 +246,7 @@ def links(texts: DataFrame, roots: DataFrame, words: int) -> DataFrame:
     found = roots.select(F.col("root").alias("u"), F.col("root").alias("v")).limit(0)
     now = met
     for all_pairs in (False, False, True):
-        alike = _alike(stored(_pairs(_in_blocks(now), all_pairs)), texts, words)
+        alike = _alike(stored(_pairs(_in_blocks(now, all_pairs), all_pairs)), texts, words)
         rooted = alike.join(roots.select(F.col("id").alias("u"), F.col("root").alias("ru")), "u")
         rooted = rooted.join(roots.select(F.col("id").alias("v"), F.col("root").alias("rv")), "v")
         found = found.unionByName(stored(rooted.select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct()))

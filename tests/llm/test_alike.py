@@ -103,7 +103,7 @@ def test_texts_of_one_form_that_all_meet(spark, monkeypatch, block):
 def test_texts_of_one_form_below_the_similarity_are_no_pairs(spark):
     texts = templates(300, 10)
     met = alike._meetings(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 5)
-    pairs = alike._pairs(alike._in_blocks(met.withColumn("root", F.col("id"))), True)
+    pairs = alike._pairs(alike._in_blocks(met.withColumn("root", F.col("id")), True), True)
     assert pairs.count() < 5 * len(texts)
 
 
@@ -137,3 +137,13 @@ def test_clashing_columns_and_null_ids(spark):
     kept = simhash.one_of_each(docs, alike_words=5).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["4", "None"]
     assert kept[0].asDict().keys() == set(docs.columns)
+
+
+def test_first_rounds_put_out_a_pair_a_text_and_meeting(spark, monkeypatch):
+    monkeypatch.setattr(alike, "BLOCK", 16)
+    texts = templates(200, 2)
+    met = alike._meetings(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 5)
+    dealt = alike._in_blocks(met.withColumn("root", F.col("id")), False)
+    assert dealt.count() == met.count()
+    assert alike._pairs(dealt, False).count() <= alike.MEETINGS * len(texts)
+    assert set(linked(spark, texts).values()) == {0}
