@@ -7,8 +7,9 @@ over by every shingle that falls there. Bits that differ are shingles that diffe
 differ in more bits than similar texts of their sizes may is no link, for certain. The others are compared by
 whole sets, which are made for the texts of such pairs only.
 
-A pair is put out only while its texts are apart. First every text goes with the first text of each meeting
-that its sketch allows, twice, which joins groups of near copies; then all pairs still apart and allowed.
+A pair is put out only while its texts are apart. First every text goes with the first text that its sketch
+allows, in its meeting under the first order and then in all, which joins groups of near copies; then all pairs
+still apart and allowed.
 A meeting of very many texts is dealt into pairs of blocks, so that no task holds all of it.
 """
 
@@ -88,7 +89,7 @@ def _new_rows(part: pa.RecordBatch, seen: set[int]) -> list[tuple[int, str]]:
 
 
 def _meetings(texts: DataFrame, words: int) -> DataFrame:
-    """``value``, ``n``, ``id``, ``sketch``; a text that a task meets again is put out once."""
+    """``nth`` order, ``value``, ``n``, ``id``, ``sketch``; a text that a task meets again is put out once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -102,11 +103,12 @@ def _meetings(texts: DataFrame, words: int) -> DataFrame:
                 if rows:
                     values, n, ids, sketches = zip(*rows, strict=True)
                     each = np.repeat(np.arange(len(rows)), MEETINGS)
-                    columns = [pa.array(np.concatenate(values)), pa.array(np.array(n, np.int64)[each])]
+                    columns = [pa.array(np.tile(np.arange(MEETINGS, dtype="i4"), len(rows))), pa.array(np.concatenate(values))]
+                    columns += [pa.array(np.array(n, np.int64)[each])]
                     columns += [pa.array(np.array(ids, np.int64)[each]), pa.array(sketches, pa.binary()).take(pa.array(each))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["value", "n", "id", "sketch"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["nth", "value", "n", "id", "sketch"])
 
-    return texts.select("id", "text").mapInArrow(run, "value long, n long, id long, sketch binary")
+    return texts.select("id", "text").mapInArrow(run, "nth int, value long, n long, id long, sketch binary")
 
 
 def _in_blocks(met: DataFrame, every: bool) -> DataFrame:
@@ -148,7 +150,9 @@ def _allowed(n: np.ndarray, sketches: list[bytes], rows: np.ndarray, others: np.
 
 
 def _pairs(dealt: DataFrame, every: bool) -> DataFrame:
-    """``u``, ``v`` of texts that meet, are apart and may be alike: all such pairs, or each text with the first such."""
+    """``u``, ``v`` of texts that meet, are apart and may be alike: all such pairs, or of each text that with the first
+    such text, once for the same two roots.
+    """
 
     def compared(n, ids, roots, sketches, blocks, low, high) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
@@ -161,7 +165,9 @@ def _pairs(dealt: DataFrame, every: bool) -> DataFrame:
             if not every:
                 first = np.argmax(fits, axis=1)
                 i = np.flatnonzero(fits[np.arange(len(rows)), first])
-                yield ids[rows[i]], ids[left[first[i]]]
+                u, v = rows[i], left[first[i]]
+                once = np.unique(np.stack([roots[u], roots[v]]), axis=1, return_index=True)[1]
+                yield ids[u[once]], ids[v[once]]
             else:
                 i, j = np.nonzero(fits)
                 yield ids[rows[i]], ids[left[j]]
@@ -242,11 +248,13 @@ def links(texts: DataFrame, roots: DataFrame, words: int) -> DataFrame:
     texts = texts.select("id", "text")
     every = written(_meetings(texts, words), "meetings")
     several = every.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("value")
-    met = stored(every.join(several, "value").join(roots, "id").select("value", "n", "id", "root", "sketch"))
+    met = stored(every.join(several, "value").join(roots, "id").select("nth", "value", "n", "id", "root", "sketch"))
     found = roots.select(F.col("root").alias("u"), F.col("root").alias("v")).limit(0)
     now = met
-    for all_pairs in (False, False, True):
-        alike = _alike(stored(_pairs(_in_blocks(now, all_pairs), all_pairs)), texts, words)
+    # Texts first meet by one order only, then by all.
+    for orders, all_pairs in ((1, False), (MEETINGS, False), (MEETINGS, True)):
+        meeting = now.filter(F.col("nth") < orders)
+        alike = _alike(stored(_pairs(_in_blocks(meeting, all_pairs), all_pairs)), texts, words)
         rooted = alike.join(roots.select(F.col("id").alias("u"), F.col("root").alias("ru")), "u")
         rooted = rooted.join(roots.select(F.col("id").alias("v"), F.col("root").alias("rv")), "v")
         found = found.unionByName(stored(rooted.select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct()))
