@@ -486,6 +486,9 @@ _RAW = {
     "customers": ("raw_customers", {
         "customer_id": "bigint", "customer_unique_id": "bigint", "customer_zip_code_prefix": "int",
         "customer_city": "string", "customer_state": "string"}),
+    "geolocation": ("raw_places", {
+        "geolocation_zip_code_prefix": "int", "geolocation_lat": "double", "geolocation_lng": "double",
+        "geolocation_city": "string", "geolocation_state": "string"}),
     "order_items": ("raw_items", {
         "order_id": "bigint", "order_item_id": "int", "product_id": "bigint", "seller_id": "bigint",
         "shipping_limit_date": "timestamp_ntz", "price": "double", "freight_value": "double"}),
@@ -501,6 +504,8 @@ _RAW = {
         "order_purchase_timestamp": "timestamp_ntz", "order_approved_at": "timestamp_ntz",
         "order_delivered_carrier_date": "timestamp_ntz", "order_delivered_customer_date": "timestamp_ntz",
         "order_estimated_delivery_date": "timestamp_ntz"}),
+    "product_category_name_translation": ("raw_translations", {
+        "product_category_name": "string", "product_category_name_english": "string"}),
     "products": ("raw_products", {
         "product_id": "bigint", "product_category_name": "string", "product_name_lenght": "int",
         "product_description_lenght": "int", "product_photos_qty": "int", "product_weight_g": "int",

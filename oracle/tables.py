@@ -49,6 +49,13 @@ CTES: dict[str, str] = {
         SELECT event_id AS order_id, 1 AS payment_sequential, event_type AS payment_type,
                user_id % 12 + 1 AS payment_installments, value AS payment_value
         FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 0)""",
+    "raw_places": """
+        SELECT c_nationkey AS geolocation_zip_code_prefix, (c_custkey % 7)::DOUBLE AS geolocation_lat,
+               (c_custkey % 5)::DOUBLE AS geolocation_lng, '  ' || upper(c_mktsegment) AS geolocation_city,
+               lower(n_name) AS geolocation_state
+        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "raw_translations": """
+        SELECT upper(p_type) || ' ' AS product_category_name, p_brand AS product_category_name_english FROM part""",
     # --- cleaned tables ---
     "customers": """
         SELECT customer_id, customer_unique_id, customer_zip_code_prefix::INTEGER AS customer_zip_code_prefix,

@@ -12,7 +12,7 @@ from ordermill.operators import profile, quality, risk
 from ordermill.operators.clean import clean_orders
 from ordermill.operators.suites import check_gold, check_silver
 from ordermill.plans.kpis import DOMAINS
-from ordermill.plans.warehouse import GOLD_TABLES, Warehouse
+from ordermill.plans.warehouse import CLEANERS, GOLD_TABLES, Warehouse
 from ordermill.sources.standin import orders_as_text, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +33,7 @@ class _Source:
         return self._raw[name]
 
     def all_raw(self) -> dict[str, DataFrame]:
-        names = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
-        return {name: self.raw(name) for name in names}
+        return {name: self.raw(name) for name in CLEANERS}
 
 
 def _on(build: Callable[[_Source], DataFrame]) -> Query:
