@@ -244,10 +244,10 @@ def evaluate(scored: DataFrame, threshold: float = THRESHOLD, stored: bool = Fal
         share(raised, total).alias("flagged_rate"),
         F.try_divide(precision, share(positives, total)).alias("lift"),
     )
-    # Two tables of one row each.
-    together = counted.withColumn("_one", F.lit(1)).join(areas(rows).withColumn("_one", F.lit(1)), "_one")
+    # Two tables of one row each, put side by side.
     order = ["rows", "late_orders", "roc_auc", "pr_auc", "precision", "recall", "f1", "brier_score", "flagged_rate", "lift"]
-    return together.select(*order)
+    both = counted.unionByName(areas(rows), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in order])
 
 
 # --- metadata -------------------------------------------------------------------------------------
