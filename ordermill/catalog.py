@@ -132,7 +132,7 @@ def _evaluation(s: _Source) -> DataFrame:
 PROFILES: dict[str, Callable[[_Source], DataFrame]] = {
     "profile_overview": lambda s: profile.overview(s.all_raw()),
     "profile_columns": lambda s: profile.all_columns(s.all_raw()),
-    "profile_missing": lambda s: profile.missing_summary(profile.all_columns(s.all_raw())),
+    "profile_missing": lambda s: profile.missing_values(s.all_raw()),
     "profile_duplicates": lambda s: profile.duplicate_summary(s.all_raw()),
     "key_cardinality": _cardinality,
     "order_status_distribution": lambda s: profile.value_distribution(s.raw("orders"), "order_status"),

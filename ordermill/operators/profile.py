@@ -33,33 +33,25 @@ def schema_report(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFram
 def _counted_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(column, present, n)``: one row per distinct value, counted before it is shuffled.
 
-    Values keep a native type: whole numbers, fractions and text each have a column of their own.
+    Whole numbers and times stand for themselves, other values for 128 bits of theirs, so long texts are neither
+    grouped by nor shuffled.
     """
 
     def entry(number: int, name: str) -> Column:
-        kind = df.schema[name].dataType.typeName()
-        column = F.col(name)
+        kind, value = df.schema[name].dataType.typeName(), F.col(name)
+        second = F.lit(None).cast("bigint")
         if kind in ("byte", "short", "integer", "long", "boolean"):
-            value = "whole", column.cast("bigint")
+            first = value.cast("bigint")
         elif kind.startswith("timestamp"):
-            value = "whole", F.unix_micros(column.cast("timestamp"))
-        elif kind in ("float", "double"):
-            value = "fraction", column.cast("double")
+            first = F.unix_micros(value.cast("timestamp"))
         else:
-            value = "text", column.cast("string")
-        types = {"whole": "bigint", "fraction": "double", "text": "string"}
-        empty = {name: F.lit(None).cast(kind) for name, kind in types.items()}
-        fields = empty | {value[0]: value[1]}
-        return F.struct(F.lit(number).alias("number"), *[c.alias(k) for k, c in fields.items()])
+            first, second = (F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value)) for seed in (1, 2))
+        return F.struct(F.lit(number).alias("number"), first.alias("first"), second.alias("second"))
 
     pairs = df.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)])))
-    counted = pairs.groupBy("number", "whole", "fraction", "text").agg(F.count(F.lit(1)).alias("n"))
+    counted = pairs.groupBy("number", "first", "second").agg(F.count(F.lit(1)).alias("n"))
     names = F.array(*[F.lit(c) for c in columns])
-    return counted.select(
-        names[F.col("number")].alias("column"),
-        (F.col("whole").isNotNull() | F.col("fraction").isNotNull() | F.col("text").isNotNull()).alias("present"),
-        "n",
-    )
+    return counted.select(names[F.col("number")].alias("column"), F.col("first").isNotNull().alias("present"), "n")
 
 
 def column_metadata(df: DataFrame, dataset: str, approximate: bool = False) -> DataFrame:
@@ -114,6 +106,26 @@ def missing_summary(metadata: DataFrame) -> DataFrame:
     return metadata.filter(F.col("missing_count") > 0).orderBy("dataset", F.desc("missing_pct"), "column")
 
 
+def columns_with_nulls(tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+    """Columns that hold NULLs, for each table that has any: one aggregate a table, all in one job."""
+    parts = [
+        df.agg(F.array(*[F.when(F.count(c) < F.count(F.lit(1)), F.lit(c)) for c in df.columns]).alias("columns")).select(
+            F.lit(name).alias("dataset"), F.array_compact("columns").alias("columns")
+        )
+        for name, df in tables.items()
+    ]
+    return {row.dataset: row.columns for row in reduce(DataFrame.unionByName, parts).collect() if row.columns}
+
+
+def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """The missing summary of raw tables. Distinct values are counted for columns with NULLs only."""
+    found = columns_with_nulls(tables)
+    if not found:
+        name, df = next(iter(tables.items()))
+        return missing_summary(column_metadata(df, name).filter(F.lit(False)))
+    return missing_summary(all_columns({name: tables[name].select(*columns) for name, columns in found.items()}))
+
+
 def duplicate_summary(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [repeated_rows(df).select(F.lit(name).alias("dataset"), "*") for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)

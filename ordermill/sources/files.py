@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from ordermill.sources.datasets import DATASETS, Dataset
 
 CORRUPT = "_corrupt_record"
+#: Endings of the folders of an overwrite: rows not yet in place, and the table they replace.
+STAGED, REPLACED = ".staged", ".replaced"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, multi_line: bool | None = None) -> DataFrame:
@@ -65,12 +68,43 @@ def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str, prefix: str = "")
     return written
 
 
+def _folder(spark: SparkSession, path: str):
+    """File system and Hadoop path of a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored table; the one before, where an overwrite was lost between its two renames."""
+    files, folder = _folder(spark, path)
+    before = folder.suffix(REPLACED)
+    lost = not files.exists(folder) and files.exists(before)
+    return spark.read.parquet(before.toString() if lost else path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Overwrite a Parquet table. The rows are written beside it first and the two folders swapped then, so a
+    lost job leaves the old table as it was, and ``df`` may read the table it replaces. (In stores where a rename
+    copies, the swap takes as long as a copy; the old table stays readable until it ends.)
+    """
+    spark = df.sparkSession
+    files, folder = _folder(spark, path)
+    staged, before = folder.suffix(f"{STAGED}-{uuid.uuid4().hex}"), folder.suffix(REPLACED)
+    try:
+        df.write.parquet(staged.toString())
+    except Exception:
+        files.delete(staged, True)
+        raise
+    if files.exists(folder):
+        files.delete(before, True)
+        _rename(files, folder, before)
+    _rename(files, staged, folder)
+    files.delete(before, True)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"could not rename {source.toString()} to {target.toString()}")
 
 
 def register_views(spark: SparkSession, layer_dir: str, names: Iterable[str]) -> None:

@@ -3,6 +3,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.catalog import QUERIES
 from ordermill.operators.quality import DataQualityError
@@ -179,3 +180,22 @@ def test_rejected_lines_without_records_of_them_and_with_a_limit(spark):
     marked = spark.createDataFrame([(1, None), (2, "x,y")], f"a int, {files.CORRUPT} string")
     rows = [files.rejected_lines(df, "t", most).first() for df in (plain, marked) for most in (None, 0, 1)]
     assert [(r["violations"], r["passed"]) for r in rows] == [(0, True)] * 3 + [(1, True), (1, False), (1, True)]
+
+
+def test_a_lost_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files.write_table(spark.range(5), path)
+    lost = F.raise_error(F.lit("lost")).cast("long")
+    half = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 99, lost).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        files.write_table(half, path)
+    assert files.read_table(spark, path).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t"]
+    # An overwrite may read what it replaces.
+    files.write_table(files.read_table(spark, path).filter("id > 2"), path)
+    assert sorted(r.id for r in files.read_table(spark, path).collect()) == [3, 4]
+    # Lost between the two renames: the table before is read, and the next overwrite puts things right.
+    (tmp_path / "t").rename(tmp_path / "t.replaced")
+    assert files.read_table(spark, path).count() == 2
+    files.write_table(spark.range(7), path)
+    assert files.read_table(spark, path).count() == 7

@@ -99,3 +99,9 @@ def test_filters_reach_the_scan(spark, tiny):
     plan = physical_plan(spark, tiny, "overall_product_kpis")
     assert "PushedFilters: [IsNotNull(l_extendedprice)" in plan
     assert "GreaterThanOrEqual(l_extendedprice,0.0)" in plan
+
+
+def test_texts_that_a_report_does_not_read_are_not_shuffled(spark, tiny):
+    lines = physical_plan(spark, tiny, "overall_review_kpis").splitlines()
+    moved = [line for line in lines if "Aggregate" in line or "Exchange" in line]
+    assert moved and not any("props" in line or "comment" in line for line in moved)

@@ -97,3 +97,17 @@ def test_seller_ranking_uses_the_whole_history(spark):
     rows = {r["seller_id"]: r for r in dicts(profile.seller_ranking(tables.fact_order_items, tables.fact_orders))}
     assert (rows["x"]["orders"], rows["x"]["late_rate"], rows["x"]["avg_delay_days"]) == (3, 0.333333, 0.0)
     assert rows["y"]["late_rate"] == 1.0 and rows["z"]["late_rate"] is None
+
+
+def test_missing_values_equal_the_summary_of_all_columns(mixed):
+    full = mixed.select("n")
+    tables = {"full": full, "m": mixed}
+    assert profile.columns_with_nulls(tables) == {"m": ["s", "d", "b", "t"]}
+    assert dicts(profile.missing_values(tables)) == dicts(profile.missing_summary(profile.all_columns(tables)))
+    assert profile.missing_values({"full": full}).collect() == []
+    assert profile.missing_values({"none": mixed.limit(0)}).collect() == []
+
+
+def test_a_null_in_another_column_is_another_row(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), (None, None), (None, None)], "x string, y string")
+    assert [r["duplicate_rows"] for r in dicts(profile.duplicate_summary({"t": df, "none": df.limit(0)}))] == [1, 0]
