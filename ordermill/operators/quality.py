@@ -4,6 +4,8 @@ All row rules of a table are counters in one aggregate, which shuffles a single
 uniqueness rule counts rows per key, combined before the shuffle, so a key with very many rows is no
 burden; it reads the key columns only. Counters are deliberately not carried along with the keys: a
 second columnar scan is far cheaper than shuffling a dozen counters per key.
+
+A table that is being written needs no scan for its row rules: ``watch`` has the writing job count them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -86,37 +88,74 @@ def _repeated_keys(df: DataFrame, r: Rule) -> DataFrame:
     return repeated.select(F.lit(r.name).alias("check"), "violations")
 
 
+def _split(df: DataFrame, rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """Uniqueness rules that can be evaluated, and all others."""
+    keyed = [r for r in rules if r.unique and not _missing(df, r.columns)]
+    return keyed, [r for r in rules if r not in keyed]
+
+
+def _counter(df: DataFrame, r: Rule) -> Column:
+    missing = _missing(df, r.columns)
+    if r.condition is None and not r.unique:
+        return F.lit(len(missing))
+    return F.lit(None) if missing else F.count_if(r.condition())
+
+
+def _report(dataset: str, parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).select(
+        F.lit(dataset).alias("dataset"),
+        "check",
+        "violations",
+        F.coalesce(F.col("violations") == 0, F.lit(False)).alias("passed"),
+    )
+
+
 def run_checks(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
     """``(dataset, check, violations, passed)``, one row per rule.
 
     A rule over a column the table lacks cannot be evaluated: NULL violations, not passed.
     """
-
-    def counter(r: Rule) -> Column:
-        missing = _missing(df, r.columns)
-        if r.condition is None and not r.unique:
-            return F.lit(len(missing))
-        return F.lit(None) if missing else F.count_if(r.condition())
-
-    keyed = [r for r in rules if r.unique and not _missing(df, r.columns)]
-    counted = [r for r in rules if r not in keyed]
+    keyed, counted = _split(df, rules)
     parts = [_repeated_keys(df, r) for r in keyed]
     if counted:
         wide = df.agg(
             F.array(
                 *[
-                    F.struct(F.lit(r.name).alias("check"), counter(r).cast("bigint").alias("violations"))
+                    F.struct(F.lit(r.name).alias("check"), _counter(df, r).cast("bigint").alias("violations"))
                     for r in counted
                 ]
             ).alias("_checks")
         )
         parts.append(wide.select(F.inline("_checks")))
-    return reduce(DataFrame.unionByName, parts).select(
-        F.lit(dataset).alias("dataset"),
-        "check",
-        "violations",
-        F.coalesce(F.col("violations") == 0, F.lit(False)).alias("passed"),
-    )
+    return _report(dataset, parts)
+
+
+def watch(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` to be written as it is returned, and a function from the written table to the report of ``run_checks``.
+
+    The job that writes counts the violations of row rules, so that only uniqueness rules read the table again, and
+    of that the key columns. Write without another shuffle in between: counters of a job's last stage take in
+    every task once, however often it was tried. Where no counters come back (Spark may plan an empty table
+    without any job), the written table is checked.
+    """
+    keyed, counted = _split(df, rules)
+    evaluated = {f"_check_{i}": r for i, r in enumerate(counted) if not _missing(df, r.columns)}
+    if not evaluated:
+        return df, lambda written: run_checks(written, dataset, rules)
+    seen = Observation()
+    watched = df.observe(seen, *[_counter(df, r).cast("bigint").alias(name) for name, r in evaluated.items()])
+
+    def report(written: DataFrame) -> DataFrame:
+        counts = seen.get
+        if set(counts) != set(evaluated):
+            return run_checks(written, dataset, rules)
+        found = {r.name: counts[name] for name, r in evaluated.items()}
+        # One row a rule, known before any job runs.
+        rows = [(r.name, found.get(r.name, len(_missing(df, r.columns)) if r.condition is None and not r.unique else None)) for r in counted]
+        parts = [_repeated_keys(written, r) for r in keyed]
+        return _report(dataset, [*parts, df.sparkSession.createDataFrame(rows, "check string, violations bigint")])
+
+    return watched, report
 
 
 def enforce(report: DataFrame) -> None:

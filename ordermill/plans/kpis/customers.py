@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.columns import amount, money, money_mean, money_sum, month_of, report_round, share
+from ordermill.plans.warehouse import by_order
 
 
 def _orders_per_customer(tables) -> DataFrame:
@@ -68,10 +69,10 @@ def customers_by_number_of_orders(tables) -> DataFrame:
 
 
 def monthly_customer_activity(tables) -> DataFrame:
-    months = tables.fact_orders.select("order_id", month_of("order_purchase_timestamp").alias("month"))
+    months = by_order(tables, "fact_orders").select("order_id", month_of("order_purchase_timestamp").alias("month"))
     people = tables.dim_customers.select("customer_id", "customer_unique_id")
     return (
-        tables.delivery_features.select("order_id", "customer_id", "order_total_price")
+        by_order(tables, "delivery_features").select("order_id", "customer_id", "order_total_price")
         .join(months, "order_id")
         .join(people, "customer_id")
         .groupBy("month")

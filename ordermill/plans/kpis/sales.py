@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.columns import mean_of_rounded, money_sum, month_of, report_round
+from ordermill.plans.warehouse import by_order
 
 
 def _revenue(revenue: str, average: str = "average_order_value") -> list[Column]:
@@ -25,9 +26,9 @@ def overall_sales_kpis(tables) -> DataFrame:
 
 
 def monthly_sales_performance(tables) -> DataFrame:
-    months = tables.fact_orders.select("order_id", month_of("order_purchase_timestamp").alias("month"))
+    months = by_order(tables, "fact_orders").select("order_id", month_of("order_purchase_timestamp").alias("month"))
     return (
-        tables.delivery_features.select("order_id", "order_total_price")
+        by_order(tables, "delivery_features").select("order_id", "order_total_price")
         .join(months, "order_id")
         .groupBy("month")
         .agg(F.count("order_id").alias("orders"), *_revenue("revenue"))

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.operators import clean, features, history, star
-from ordermill.sources.files import read_table
+from ordermill.sources.files import read_bucketed, read_table
 
 CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "customers": clean.clean_customers,
@@ -34,6 +34,10 @@ GOLD_TABLES = [
     "delivery_features",
 ]
 
+# Tables with one row per order, stored in buckets of ``order_id``. The key is unique, so no bucket can be hot;
+# items, history and reviews, where it isn't, stay plain and their joins can be split by adaptive execution.
+ORDER_TABLES = ["fact_orders", "delivery_features"]
+
 
 class Warehouse:
     """Star-schema tables as DataFrames, each planned once and only when asked for.
@@ -99,3 +103,14 @@ class StoredWarehouse:
         if name not in GOLD_TABLES:
             raise AttributeError(name)
         return read_table(self._spark, f"{self._dir}/{name}")
+
+    def by_order(self, name: str) -> DataFrame:
+        """The table scanned by its buckets of ``order_id``. For joins of two tables of ``ORDER_TABLES`` only: a join
+        with any other table would shuffle that one alone, and could not be split at a hot key any more.
+        """
+        return read_bucketed(self._spark, f"{self._dir}/{name}") if name in ORDER_TABLES else getattr(self, name)
+
+
+def by_order(tables, name: str) -> DataFrame:
+    """A table of ``ORDER_TABLES`` for a join with another one: by buckets where it is stored so, else as it is."""
+    return tables.by_order(name) if isinstance(tables, StoredWarehouse) else getattr(tables, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 
@@ -13,6 +14,8 @@ from ordermill.sources.datasets import DATASETS, Dataset
 CORRUPT = "_corrupt_record"
 #: Endings of the folders of an overwrite: rows not yet in place, and the table they replace.
 STAGED, REPLACED = ".staged", ".replaced"
+#: File in a bucketed table's folder: key, number of buckets and the name to scan it under.
+BUCKETS = "_buckets"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], dataset: Dataset, multi_line: bool | None = None) -> DataFrame:
@@ -82,24 +85,78 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(before.toString() if lost else path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
+def write_table(df: DataFrame, path: str, bucket_key: str | None = None, buckets: int = 0) -> None:
     """Overwrite a Parquet table. The rows are written beside it first and the two folders swapped then, so a
     lost job leaves the old table as it was, and ``df`` may read the table it replaces. (In stores where a rename
     copies, the swap takes as long as a copy; the old table stays readable until it ends.)
+
+    With ``bucket_key`` the files are ``buckets`` buckets of that column, for ``read_bucketed``. Pass rows that are
+    partitioned by it already (``df.repartition(buckets, bucket_key)``), else every task writes a file a bucket.
+    A bucket is read by one task, so the key should be (nearly) unique.
     """
     spark = df.sparkSession
     files, folder = _folder(spark, path)
-    staged, before = folder.suffix(f"{STAGED}-{uuid.uuid4().hex}"), folder.suffix(REPLACED)
+    name = uuid.uuid4().hex
+    staged, before = folder.suffix(f"{STAGED}-{name}"), folder.suffix(REPLACED)
     try:
-        df.write.parquet(staged.toString())
+        if bucket_key is None:
+            df.write.parquet(staged.toString())
+        else:
+            _write_buckets(df, files, staged, f"bucketed_{name}", bucket_key, buckets)
     except Exception:
         files.delete(staged, True)
         raise
+    old = _bucketing(spark, path)
     if files.exists(folder):
         files.delete(before, True)
         _rename(files, folder, before)
     _rename(files, staged, folder)
     files.delete(before, True)
+    if old:
+        spark.sql(f"DROP TABLE IF EXISTS {old['name']}")
+
+
+def _write_buckets(df: DataFrame, files, staged, name: str, key: str, buckets: int) -> None:
+    # Spark buckets tables of the catalog only; an external one leaves its files when it is dropped.
+    spark = df.sparkSession
+    try:
+        df.write.bucketBy(buckets, key).format("parquet").option("path", staged.toString()).saveAsTable(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    out = files.create(spark._jvm.org.apache.hadoop.fs.Path(staged, BUCKETS))
+    out.write(bytearray(json.dumps({"name": name, "key": key, "buckets": buckets}), "utf-8"))
+    out.close()
+
+
+def _bucketing(spark: SparkSession, path: str) -> dict | None:
+    files, folder = _folder(spark, path)
+    note = spark._jvm.org.apache.hadoop.fs.Path(folder, BUCKETS)
+    if not files.exists(note):
+        return None
+    # Spark's own readers skip files whose names begin with an underscore.
+    stream = files.open(note)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table written with ``bucket_key``, so that joins of two such tables on it need no shuffle; any other table
+    as ``read_table``. The folder goes into the session's catalog under the name it was written with, as an
+    external table; the next overwrite takes it out again.
+    """
+    found = _bucketing(spark, path)
+    if not found:
+        return read_table(spark, path)
+    if not spark.catalog.tableExists(found["name"]):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {found['name']} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{found['key']}`) INTO {found['buckets']} BUCKETS LOCATION '{location}'"
+        )
+    return spark.table(found["name"])
 
 
 def _rename(files, source, target) -> None:
