@@ -1,14 +1,16 @@
 """Exact quantiles without bringing the values to one task.
 
-Each round counts the values of every open bracket in a fixed number of equal-width bins (combined
-before the shuffle, so a round returns at most brackets x bins rows) and narrows the bracket of each
-wanted rank to one bin. A bin whose smallest and largest value agree, or whose edge is the wanted
-rank, settles it.
+The first scan brings extent, count and a sketch of every column, whose quantiles a little below and above
+each wanted rank are the splitters of the second scan: it counts the few values between them in a fixed number
+of equal-width bins, and all others in one bin below and one above (combined before the shuffle, so a scan
+returns at most brackets x bins rows). A bin whose smallest and largest value agree, or whose edge is the
+wanted rank, settles it; ordinary data, whose bins hold one value each by then, needs no more. Else the rank's
+bin is the bracket of the next round, so a sketch that was wrong costs a round, never a wrong result.
 
 The smallest and the largest value of a bracket never share a bin, infinities included, so every round
-leaves a narrower bracket. The first rounds cut values into bins of equal width, which takes two or three
-rounds for ordinary data; whatever is still open after ``WIDTH_ROUNDS`` is cut by the values' bits instead,
-in which no range of doubles is wide: at most seven rounds more with 2,048 bins.
+leaves a narrower bracket. The first rounds cut values into bins of equal width; whatever is still open after
+``WIDTH_ROUNDS`` is cut by the values' bits instead, in which no range of doubles is wide: at most seven rounds
+more with 2,048 bins.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Rounds of bins of equal width, before bins of equal numbers of doubles.
 WIDTH_ROUNDS = 4
+#: The sketch's ranks are off by at most one in so many; its size in memory is proportional.
+SKETCH_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -32,6 +36,7 @@ class _Bracket:
     low: float
     high: float
     below: int  # number of values smaller than ``low``
+    splitters: tuple[float, float] | None = None  # values that are likely to enclose the rank
 
 
 def _value(column: str) -> Column:
@@ -61,7 +66,13 @@ def _ordinal_of(value: Column) -> Column:
 
 
 def _place(value: Column, b: _Bracket, bins: int, by_bits: bool) -> Column:
-    """Bin of a value inside the bracket: 0 for its low end and ``bins - 1`` for its high end."""
+    """Bin of a value inside the bracket: 0 for its low end and ``bins - 1`` for its high end; with splitters these
+    are the ends, and what is beyond them has a bin on either side.
+    """
+    if b.splitters:
+        low, high = b.splitters
+        between = _place(value, _Bracket(b.column, low, high, 0), bins, by_bits)
+        return F.when(value < low, F.lit(-1)).when(value > high, F.lit(bins)).otherwise(between)
     if b.low == b.high:
         return F.lit(0).cast("bigint")
     if by_bits or isinf(b.low) or isinf(b.high):
@@ -107,7 +118,7 @@ def _settle(bracket: _Bracket, filled: list, rank: int) -> float | _Bracket:
             if rank == below + n - 1:
                 return high
             narrower = _Bracket(bracket.column, low, high, below)
-            if narrower == bracket:
+            if (low, high) == (bracket.low, bracket.high) and not bracket.splitters:
                 raise RuntimeError(f"no progress between {low!r} and {high!r}")
             return narrower
         below += n
@@ -121,11 +132,18 @@ def exact_quantiles(
 
     ``df`` is scanned once per round, so pass a stored table or a checkpoint, not a long plan.
     """
+    # Twice the sketch's error on both sides of every rank.
+    error = 2 / SKETCH_ACCURACY
+    sides = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-error, error)]
+
+    def sketch(value: Column) -> Column:
+        return F.percentile_approx(value, sides, SKETCH_ACCURACY)
+
     extent = df.agg(
         *[
             f(_value(c)).alias(f"{name}_{i}")
             for i, c in enumerate(columns)
-            for name, f in (("n", F.count), ("low", F.min), ("high", F.max))
+            for name, f in (("n", F.count), ("low", F.min), ("high", F.max), ("near", sketch))
         ]
     ).first()
 
@@ -135,13 +153,15 @@ def exact_quantiles(
     for i, c in enumerate(columns):
         n = extent[f"n_{i}"]
         positions[c] = [p * (n - 1) for p in probabilities] if n else []
-        for position in positions[c]:
+        near = extent[f"near_{i}"]
+        for j, position in enumerate(positions[c]):
             for rank in (floor(position), ceil(position)):
-                pending[(c, rank)] = _Bracket(c, extent[f"low_{i}"], extent[f"high_{i}"], 0)
+                splitters = (near[2 * j], near[2 * j + 1])
+                pending[(c, rank)] = _Bracket(c, extent[f"low_{i}"], extent[f"high_{i}"], 0, splitters)
 
     rounds = 0
     while pending:
-        brackets = sorted(set(pending.values()), key=lambda b: (b.column, b.low))
+        brackets = sorted(set(pending.values()), key=lambda b: (b.column, b.low, b.splitters or ()))
         found = _histograms(df, brackets, bins, rounds >= WIDTH_ROUNDS)
         rounds += 1
         for key, bracket in list(pending.items()):

@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ordermill.operators.quantiles import exact_quantiles
 
@@ -61,9 +63,50 @@ def test_wide_and_infinite_ranges_end(spark, values, bins, monkeypatch):
     assert len(rounds) <= quantiles.WIDTH_ROUNDS + (7 if bins > 2 else 65)
 
 
+def _rounds(monkeypatch):
+    from ordermill.operators import quantiles
+
+    rounds = []
+    monkeypatch.setattr(quantiles, "_histograms", lambda *a, f=quantiles._histograms: rounds.append(1) or f(*a))
+    return rounds
+
+
+@pytest.mark.parametrize(
+    "kind", ["normal", "lognormal", "whole numbers", "money", "with infinities", "one value mostly", "heavy tail"]
+)
+def test_ordinary_data_settles_in_two_scans(spark, kind, monkeypatch):
+    rng = np.random.default_rng(11)
+    n = 60_000
+    values = {
+        "normal": rng.normal(0, 1, n),
+        "lognormal": rng.lognormal(3, 2, n),
+        "whole numbers": rng.integers(0, 100_000, n).astype(float),
+        "money": np.round(rng.gamma(2, 60, n), 2),
+        "with infinities": np.concatenate([rng.normal(0, 1, n), [INF, -INF]]),
+        "one value mostly": np.where(rng.random(n) < 0.9, 5.0, rng.normal(5, 1, n)),
+        "heavy tail": rng.standard_cauchy(n),
+    }[kind]
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(6)
+    rounds = _rounds(monkeypatch)
+    wanted = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0] if kind != "with infinities" else [0.25, 0.5, 0.75]
+    got = exact_quantiles(df, ["x"], wanted)["x"]
+    assert got == pytest.approx(list(np.quantile(values, wanted)), rel=1e-12)
+    # One scan for extent and sketch comes before the histograms.
+    assert len(rounds) == 1
+
+
+def test_wrong_splitters_cost_a_round_only(spark, monkeypatch):
+    values = [float(v) for v in np.random.default_rng(5).normal(0, 1, 500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    # Every splitter at the largest value.
+    largest = lambda value, sides, accuracy: F.array(*[F.max(value) for _ in sides])
+    monkeypatch.setattr(F, "percentile_approx", largest)
+    got = exact_quantiles(df, ["x"], PROBABILITIES)["x"]
+    assert got == pytest.approx(list(np.quantile(values, PROBABILITIES)), rel=1e-12)
+
+
 def test_ordinals_follow_the_order_of_doubles(spark):
     from ordermill.operators.quantiles import _ordinal, _ordinal_of
-    from pyspark.sql import functions as F
 
     r = np.random.default_rng(3)
     bits = r.integers(-(2**63), 2**63, 2000)
