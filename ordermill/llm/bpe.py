@@ -29,6 +29,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 #: Bytes of the longest match that is remembered.
 LONGEST_KNOWN = 64
+#: Rank of no merge, above all ranks.
+NEVER = 1 << 62
 
 
 class PrefixEncoder:
@@ -41,39 +43,66 @@ class PrefixEncoder:
         self._width = {rank: len(token) for token, rank in ranks.items()}
         # Every end of a token: its own rank if it is a token as well, or -1.
         self._tails = {end: ranks.get(end, -1) for token in ranks for end in (token[i:] for i in range(len(token)))}
-        self._stands: dict[int, bool] = {}
+        self._histories: dict[int, tuple | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
 
-    def merged(self, piece: bytes) -> list[int]:
-        """Plain merging by rank. Only used on two neighbouring tokens, to learn whether they fit."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
+    def history(self, token: int) -> tuple[list[int], list[bytes], list[bytes]] | None:
+        """How merging by rank makes the token of its bytes: the rank of each merge, and the first and the last part
+        before it. The entry behind the last merge has rank ``NEVER``. None if merging ends otherwise.
+        """
+        if token in self._histories:
+            return self._histories[token]
+        whole, ranks, tokens = self.tokens[token], self.ranks, self.tokens
+        parts = [whole[i : i + 1] for i in range(len(whole))]
+        made, first, last = [], [parts[0]], [parts[-1]]
         while len(parts) > 1:
-            options = [(self.ranks.get(a + b, -1), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))]
-            best = min((o for o in options if o[0] >= 0), default=None)
-            if best is None:
+            options = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+            if not options:
                 break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-        return [self.ranks[p] for p in parts]
+            rank, at = min(options)
+            parts[at : at + 2] = [tokens[rank]]
+            made.append(rank)
+            first.append(parts[0])
+            last.append(parts[-1])
+        found = ([*made, NEVER], first, last) if len(parts) == 1 else None
+        self._histories[token] = found
+        return found
 
     def stands(self, token: int) -> bool:
         """Whether the token's bytes are encoded as this token alone."""
-        known = self._stands.get(token)
-        if known is None:
-            known = self._stands[token] = self.merged(self.tokens[token]) == [token]
-        return known
+        return self.history(token) is not None
 
     def fits(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left``: their bytes together are encoded as these two."""
         known = self._fits.get((left, right))
         if known is None:
-            both = self.tokens[left] + self.tokens[right]
-            whole = self.ranks.get(both)
-            known = not (whole is not None and self.stands(whole)) and self.merged(both) == [left, right]
+            known = self._apart(left, right)
             if len(self._fits) > 1_000_000:
                 self._fits.clear()
             self._fits[left, right] = known
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        """Whether no merge ever joins the two. Until one does, each side merges as it does alone, and the lowest
+        rank of both is next, the leftmost of equal ones: so their histories are gone through side by side.
+        """
+        ours, theirs = self.history(left), self.history(right)
+        if ours is None or theirs is None:
+            return False
+        (here, _, ends), (there, starts, _) = ours, theirs
+        i = j = 0
+        while True:
+            next_left, next_right = here[i], there[j]
+            across = self.ranks.get(ends[i] + starts[j], NEVER)
+            if across < next_left and across <= next_right:
+                return False
+            if next_left == next_right == NEVER:
+                return True
+            if next_left <= next_right:
+                i += 1
+            else:
+                j += 1
+
     def extend(self, piece: bytes, last: list[int], upto: int | None = None) -> None:
         """Fills ``last``, the last token of each prefix, up to ``upto`` bytes of ``piece``."""
         fits, tails, width = self._fits, self._tails, self._width
@@ -192,7 +221,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     """``doc_id``, ``ids`` (array of int), ``decoded`` (binary): the encoding of every whole text and back.
 
     One map over the rows, no shuffle. A null text counts as empty and gives no ids; repeated rows give
-    repeated rows; other columns are ignored.
+    repeated rows; an empty table gives no rows; a very long text is held once with its ids and costs time in
+    proportion to its bytes; other columns are ignored.
     """
 
     def start():

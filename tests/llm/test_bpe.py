@@ -37,6 +37,50 @@ def test_documents_are_encoded_as_by_the_library(spark, library):
         assert digests[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def merged(ranks, piece):
+    """Merging by rank as it is defined: the lowest pair, the leftmost of equal ones, until no pair is a token."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        options = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
+        if not options:
+            return [ranks[p] for p in parts]
+        _, at = min(options)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_neighbours_fit_if_merging_leaves_them(encoder):
+    own, r = encoder[0], random.Random(5)
+    for _ in range(4000):
+        left, right = r.randrange(50_000), r.randrange(50_000)
+        assert own.fits(left, right) == (merged(own.ranks, own.tokens[left] + own.tokens[right]) == [left, right])
+    # Parts of words, which merge across more often.
+    words = [t for t in own.tokens.values() if t.isalpha() and len(t) > 2]
+    for word in r.sample(words, 3000):
+        at = r.randrange(1, len(word))
+        left, right = own.ranks.get(word[:at]), own.ranks.get(word[at:])
+        if left is not None and right is not None:
+            assert own.fits(left, right) == (merged(own.ranks, word) == [left, right])
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_neighbours_fit_under_ranks_of_any_order(seed):
+    r = random.Random(seed)
+    tokens = {bytes([b]) for b in b"abc"} | {bytes(r.choices(b"abc", k=r.randint(2, 5))) for _ in range(60)}
+    order = sorted(tokens)
+    r.shuffle(order)
+    own = bpe.PrefixEncoder({t: i for i, t in enumerate(order)})
+    for left in range(len(order)):
+        assert own.stands(left) == (merged(own.ranks, own.tokens[left]) == [left])
+        for right in range(len(order)):
+            assert own.fits(left, right) == (merged(own.ranks, own.tokens[left] + own.tokens[right]) == [left, right])
+
+
+def test_megabytes_without_white_space(encoder, library):
+    r = random.Random(9)
+    text = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    assert encoder[1]([text]) == [library.encode_ordinary(text)]
+
+
 def test_empty_table(spark):
     assert bpe.encoding_digests(documents(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []
 
