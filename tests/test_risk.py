@@ -56,6 +56,20 @@ def test_fit_reaches_the_penalised_optimum(training, indicators):
     assert list(model.coefficients) == pytest.approx(list(weights), abs=1e-4)
 
 
+@pytest.mark.parametrize("indicators", [False, True])
+def test_fit_is_exact_to_the_eleventh_digit(training, indicators):
+    """Errors in the seventh digit of the weights round one score in some tens of thousands otherwise."""
+    model = risk.regression_of(risk.train(training, indicators))
+    intercept, weights = newton(*prepared(training, indicators))
+    assert model.intercept == pytest.approx(intercept, abs=1e-11)
+    assert list(model.coefficients) == pytest.approx(list(weights), abs=1e-11)
+
+
+def test_one_class_only_is_no_error(training):
+    model = risk.train(training.filter(f"{risk.TARGET} = 0"))
+    assert {r["late_prediction"] for r in dicts(risk.score(model, training))} == {0}
+
+
 def test_refit_and_reload_give_the_same_scores(spark, training, tmp_path):
     model = risk.train(training)
     path = str(tmp_path / "model")
