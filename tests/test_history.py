@@ -101,6 +101,20 @@ def test_blocks_are_even_for_one_seller_one_time_and_ids_with_a_common_lead(spar
     assert wrong.count() == 0
 
 
+def test_sellers_of_some_hundred_orders_are_not_cut_and_need_no_totals(spark):
+    sold = spark.range(12_000).select(F.col("id").alias("order_id"), (F.col("id") % 20).alias("seller_id"))
+    orders = sold.select(
+        "order_id",
+        F.lit(START).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        F.lit(0).alias("delivery_delay_days"),
+        F.lit(0).alias("is_late"),
+    )
+    blocks = history._in_blocks(history._with_seller_key(sold), orders, history.LEAST_BLOCK_ROWS)
+    assert blocks.select("_seller", "_super", "_block").distinct().count() == 20
+    rows = history.seller_performance(sold, orders)
+    assert rows.filter("seller_order_count != floor(order_id / 20)").count() == 0 and rows.count() == 12_000
+
+
 def test_an_order_of_unknown_sellers_only_counts_none(spark):
     orders, items = [order("x"), order("y", day=1)], [item("x", None), item("y", None), item("y", "a", number=2)]
     rows = {r["order_id"]: r for r in dicts(star(spark, orders, items).delivery_features)}

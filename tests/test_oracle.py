@@ -70,6 +70,14 @@ def test_history_sorts_the_pairs_once(spark, tiny):
     assert not any("Exchange" in line for line in top[:4])
 
 
+def test_pairs_of_the_history_are_dealt_once_after_the_join_with_orders(spark, tiny):
+    lines = physical_plan(spark, tiny, "seller_performance").splitlines()
+    window = next(i for i, line in enumerate(lines) if "- Window [" in line)
+    join = next(i for i, line in enumerate(lines) if i > window and "SortMergeJoin [order_id" in line)
+    dealt = [line for line in lines[window:join] if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and "_block" in dealt[0]
+
+
 def test_category_report_has_no_expand(spark, tiny):
     assert "Expand" not in physical_plan(spark, tiny, "revenue_by_product_category")
 
