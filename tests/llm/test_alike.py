@@ -147,3 +147,18 @@ def test_first_rounds_put_out_a_pair_a_text_and_meeting(spark, monkeypatch):
     assert dealt.count() == met.count()
     assert alike._pairs(dealt, False).count() <= alike.MEETINGS * len(texts)
     assert set(linked(spark, texts).values()) == {0}
+
+
+def test_texts_near_the_similarity_give_no_square_of_pairs(spark):
+    texts = templates(300, 5)  # most pairs are just below, too near for sketches to tell
+    met = alike._meetings(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), 5)
+    pairs = alike._pairs(alike._in_blocks(met.withColumn("root", F.col("id")), True), True)
+    assert pairs.count() <= alike.MEETINGS * len(texts)
+
+
+@pytest.mark.parametrize("shingles", [1 << 20, 5000])
+def test_chains_of_texts_near_the_similarity(spark, monkeypatch, shingles):
+    monkeypatch.setattr(alike, "BLOCK_SHINGLES", shingles, raising=False)
+    texts = templates(60, 5) + templates(40, 6, 1) + templates(40, 7, 2)
+    assert 1 < len(set(linked(spark, texts).values())) < len(texts)
+    assert linked(spark, texts) == plainly_linked(texts)
