@@ -6,12 +6,12 @@ similar ones more rarely. Only a sketch travels to the meeting: a bit for each s
 over by every shingle that falls there. Bits that differ are shingles that differ, so a pair whose sketches
 differ in more bits than similar texts of their sizes may is no link, for certain.
 
-First every text goes with the one before it whose sketch is nearest to its own, and whole sets decide; this joins
-most groups of near copies. Then each meeting names the texts whose sketches allow a text that is still apart. Their
-whole sets are dealt to their meetings, all pairs still allowed are compared there, each in the first meeting
-the two have in common, and links that join what is apart are put out, a forest for each task. So no step puts out
-pairs by the square of a meeting's size. A meeting of very many texts is dealt into pairs of blocks, so
-that no task holds all of it.
+Each meeting names the texts whose sketches allow another text that is apart; whole sets are made for them only.
+First such a text goes with the one before it whose sketch is nearest to its own, which joins most groups of near
+copies, and the meetings name what is still apart. The whole sets of that are dealt to their meetings, all pairs still
+allowed are compared there, each in the first meeting the two have in common, and links that join what is apart
+are put out, a forest for each task. So no step puts out pairs by the square of a meeting's size. A meeting of
+very many texts is dealt into pairs of blocks, so that no task holds all of it.
 """
 
 from __future__ import annotations
@@ -232,6 +232,11 @@ def _pairs(dealt: DataFrame, every: bool) -> DataFrame:
     return _each_meeting(dealt, nearest, "value long, u long, v long, apart int")
 
 
+def _named(pairs: DataFrame) -> DataFrame:
+    """``value``, ``id`` of the texts in ``pairs``."""
+    return pairs.select("value", F.explode(F.array("u", "v")).alias("id")).distinct()
+
+
 def _joined(dealt: DataFrame) -> DataFrame:
     """``u``, ``v``: links between roots of texts that meet and are alike; for each block pair a forest of them.
 
@@ -296,7 +301,7 @@ def _sets(named: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return stored(wanted.groupBy("id").agg(F.first("found").alias("found")))
 
 
-def _alike(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose whole sets are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +310,6 @@ def _alike(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             keep = [are_alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)) for a, b in zip(x, y, strict=True)]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = _sets(pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))), texts, words)
     both = pairs.join(sets.select(F.col("id").alias("u"), "found"), "u")
     both = both.join(sets.select(F.col("id").alias("v"), F.col("found").alias("other")), "v")
     return both.select("u", "v", "found", "other").mapInArrow(run, "u long, v long")
@@ -324,17 +328,18 @@ def links(texts: DataFrame, roots: DataFrame, words: int) -> DataFrame:
     several = every.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("value")
     met = stored(every.join(several, "value").join(roots, "id").select("value", "n", "id", "root", "sketch"))
 
-    nearest = _pairs(_in_blocks(met, False), False).groupBy("u").agg(F.min(F.struct("apart", "v")).alias("near"))
-    alike = _alike(stored(nearest.select("u", "near.v")), texts, words)
-    rooted = alike.join(roots.select(F.col("id").alias("u"), F.col("root").alias("ru")), "u")
+    pairs = stored(_pairs(_in_blocks(met, True), True))
+    named = _named(pairs)
+    sets = _sets(named, texts, words)
+    nearest = pairs.groupBy("u").agg(F.min(F.struct("apart", "v")).alias("near")).select("u", "near.v")
+    rooted = _alike(nearest, sets).join(roots.select(F.col("id").alias("u"), F.col("root").alias("ru")), "u")
     rooted = rooted.join(roots.select(F.col("id").alias("v"), F.col("root").alias("rv")), "v")
     found = stored(rooted.select(F.col("ru").alias("u"), F.col("rv").alias("v")).distinct())
 
     joined = stored(components(found)).select(F.col("node").alias("root"), F.col("root").alias("into"))
-    now = met.join(joined, "root", "left").withColumn("root", F.coalesce("into", "root")).drop("into")
-    named = _pairs(_in_blocks(now, True), True).select("value", F.explode(F.array("u", "v")).alias("id"))
-    named = stored(named.distinct())
-    rooted = roots.join(joined, "root", "left").select("id", F.coalesce("into", "root").alias("root"))
-    sets = _sets(named, texts, words).join(rooted, "id")
-    whole = named.join(sets, "id").withColumn("n", F.expr("octet_length(found) div 8"))
+    now = met.join(named, ["value", "id"], "left_semi").join(joined, "root", "left")
+    now = stored(now.withColumn("root", F.coalesce("into", "root")).select(met.columns))
+    apart = stored(_named(_pairs(_in_blocks(now, True), True)))
+    rooted = now.select("value", "id", "n", "root").distinct().join(apart, ["value", "id"], "left_semi")
+    whole = rooted.join(sets, "id")
     return found.unionByName(stored(_joined(_in_blocks(whole, True, "found")))).distinct()
