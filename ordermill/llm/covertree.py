@@ -2,11 +2,13 @@
 
 Vectors are compared as unit vectors, where a cosine bound is a distance bound. Equal vectors become one
 with a weight. The upper level of the tree is a set of cells around centres from a bounded sample; every
-vector lives in the cell of its nearest centre and visits the cells whose centre and radius allow a vector
-near enough. Below, each task builds nested levels of nodes with halving radii for the residents of a
-block of a cell and for the visitors, and descends both at once: a pair of nodes is left as soon as their
-centres are farther apart than the bound and both covering radii, and counted as a whole, without looking
-at its vectors, when even their farthest vectors are near. What is left is decided by exact cosines.
+vector lives in the cell of its nearest centre, in one of its blocks. A block has a centre, a covering radius
+and a tree of nested levels of nodes with halving radii, and is stored once. Two blocks meet if their centres
+and radii allow vectors near enough. Blocks are read where they meet and not copied by a shuffle, so what is
+on disk grows with the rows, however many blocks meet. There both trees are descended at once: a pair of nodes
+is left as soon as their centres are farther apart than the bound and both covering radii, and counted as a
+whole, without looking at its vectors, when even their farthest vectors are near. What is left is decided by
+exact cosines.
 
 Tasks return the number of links of each vector and a spanning forest of the links, never all pairs.
 """
@@ -25,17 +27,25 @@ from ordermill.llm.common import stored
 from ordermill.llm.components import components
 
 COSINE = 0.95
-#: Residents of a task, about; larger cells are dealt into blocks.
-BLOCK_ROWS = 2048
+#: Vectors of a block, about; larger cells are dealt into blocks. Small tables have smaller ones, for all cores.
+BLOCK_ROWS = 8192
+_LEAST_BLOCK_ROWS = 1024
+_LEAST_BLOCKS = 12
+#: Components of the vectors of a block, about.
+_BLOCK_VALUES = 1 << 19
 #: Rows that centres are chosen from, and centres at most.
 SAMPLE_ROWS = 2048
 MOST_CELLS = 1024
-_VISITORS = 2048
 _MARGIN = 1e-9
-_AT_A_TIME = 512
+#: Sides of the part of a matrix of cosines that is looked at at a time.
+_AT_A_TIME = (256, 2048)
+#: Blocks of a partition; a task compares two partitions, and there are a few of them for all cores.
+_TOGETHER = 16
+_LEAST_TOGETHER = 6
 #: Pairs of nodes that are taken one by one.
 _MANY_OPEN = 64
-_RADII = (1.0, 0.5, 0.25, 0.125)
+#: Wider nodes exclude nothing: unit vectors are at most 2 apart.
+_RADII = (0.5, 0.25, 0.125)
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,6 +78,19 @@ def _net(points: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(centres), of
 
 
+def _nearest(rough: np.ndarray) -> np.ndarray:
+    """For each point the cosine of the nearest other one, in single precision."""
+    found = np.full(len(rough), -1.0, np.float32)
+    rows, columns = _AT_A_TIME
+    for s in range(0, len(rough), rows):
+        for t in range(0, len(rough), columns):
+            cosines = rough[s : s + rows] @ rough[t : t + columns].T
+            itself = np.arange(max(s, t), min(s + rows, t + columns, len(rough)))
+            cosines[itself - s, itself - t] = -1
+            found[s : s + rows] = np.maximum(found[s : s + rows], cosines.max(axis=1))
+    return found
+
+
 class CoverTree:
     """Nested levels over points: ``levels[0]`` are single points, each further one has fewer, wider nodes.
 
@@ -75,35 +98,48 @@ class CoverTree:
     members of each node in the level under it. Levels that would gather almost nothing are left out.
     """
 
-    def __init__(self, points: np.ndarray, weights: np.ndarray):
+    def __init__(self, points: np.ndarray, weights: np.ndarray, packed: list[tuple[np.ndarray, np.ndarray]] | None = None):
         self.points, self.weights = points, weights
         self.rough = points.astype(np.float32)
         n = len(points)
         at, below = np.arange(n), np.arange(n)  # centres of the level so far; for each point its node there
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, list]] = [(at, np.zeros(n), np.ones(n, np.int64), [])]
-        alike = self.rough @ self.rough.T
+        #: Of each level over the points: which nodes of the level under it are its centres, and the node each of them is in.
+        self.packed: list[tuple[np.ndarray, np.ndarray]] = []
+        for chosen, of in self._nets() if packed is None else packed:
+            at, below = self._add(at, below, chosen, of)
+            self.packed.append((chosen, of))
+
+    def _add(self, at: np.ndarray, below: np.ndarray, chosen: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(of, kind="stable")
+        members = np.split(order, np.searchsorted(of[order], np.arange(1, len(chosen))))
+        below = of[below]
+        at = at[chosen]
+        far = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", self.points, self.points[at[below]]), 0))
+        reach = np.zeros(len(at))
+        np.maximum.at(reach, below, far)
+        self.levels.append((at, reach, np.bincount(below, minlength=len(at)), members))
+        return at, below
+
+    def _nets(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        nearest = None
         for radius in reversed(_RADII):
-            least = 1 - radius**2 / 2
-            close = (alike if len(at) == n else alike[np.ix_(at, at)]) >= least - 1e-5
-            crowded = close.sum(axis=1) > 1
+            at = self.levels[-1][0]
+            if nearest is None:
+                nearest = _nearest(self.rough[at])
+            crowded = nearest >= 1 - radius**2 / 2 - 1e-5
             if crowded.sum() < 0.05 * len(at):
                 continue
             # A point without another one near is a node of its own.
             some, lone = np.flatnonzero(crowded), np.flatnonzero(~crowded)
-            centres, nearest = _net(points[at[some]], radius)
+            centres, in_net = _net(self.points[at[some]], radius)
             chosen = np.concatenate([some[centres], lone])
             if len(chosen) > 0.95 * len(at):
                 continue
             of = np.empty(len(at), np.int64)
-            of[some], of[lone] = nearest, len(centres) + np.arange(len(lone))
-            order = np.argsort(of, kind="stable")
-            members = np.split(order, np.searchsorted(of[order], np.arange(1, len(chosen))))
-            below = of[below]
-            at = at[chosen]
-            far = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", points, points[at[below]]), 0))
-            reach = np.zeros(len(at))
-            np.maximum.at(reach, below, far)
-            self.levels.append((at, reach, np.bincount(below, minlength=len(at)), members))
+            of[some], of[lone] = in_net, len(centres) + np.arange(len(lone))
+            yield chosen, of
+            nearest = None
 
     def under(self, level: int, node: int) -> np.ndarray:
         """Points below a node."""
@@ -119,14 +155,20 @@ def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: fl
 
     Single precision finds the pairs, double precision gives the cosines.
     """
-    for s in range(0, len(x), _AT_A_TIME):
-        some = x[s : s + _AT_A_TIME]
-        i, j = np.nonzero(a.rough[some] @ b.rough[y].T >= least - 1e-5)
-        if len(i) > len(some) * 16:
-            cosines = (a.points[some] @ b.points[y].T)[i, j]
-        else:
-            cosines = np.einsum("ij,ij->i", a.points[some[i]], b.points[y[j]])
-        yield some[i], y[j], cosines
+    rough_a, rough_b = a.rough[x], b.rough[y]
+    rows, columns = _AT_A_TIME
+    for s in range(0, len(x), rows):
+        for t in range(0, len(y), columns):
+            rough = rough_a[s : s + rows] @ rough_b[t : t + columns].T
+            if rough.max() < least - 1e-5:
+                continue
+            i, j = np.nonzero(rough >= least - 1e-5)
+            some, others = x[s : s + rows], y[t : t + columns]
+            if len(i) > len(some) * 16:
+                cosines = (a.points[some] @ b.points[others].T)[i, j]
+            else:
+                cosines = np.einsum("ij,ij->i", a.points[some[i]], b.points[others[j]])
+            yield some[i], others[j], cosines
 
 
 class Links:
@@ -136,6 +178,11 @@ class Links:
         self.count = np.zeros(n, np.int64)
         self.root = np.arange(n)
 
+    def grow(self, n: int) -> None:
+        """Adds ``n`` points."""
+        self.root = np.r_[self.root, np.arange(len(self.root), len(self.root) + n)]
+        self.count = np.r_[self.count, np.zeros(n, np.int64)]
+
     def join(self, i: np.ndarray, j: np.ndarray) -> None:
         root = self.root
         while True:
@@ -182,10 +229,22 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
     while waiting:
         la, nodes_a, lb, nodes_b, same = waiting.pop()
         at_a, reach_a, many_a, members_a = a.levels[la]
-        at_b, reach_b, _, members_b = b.levels[lb]
+        at_b, reach_b, many_b, members_b = b.levels[lb]
         if la == 0 and lb == 0:
             exact(nodes_a, nodes_b, same)
             continue
+        # Nodes of a single point reach nowhere and are kept from those that do, so that they exclude more.
+        lone_a, lone_b = many_a[nodes_a] == 1, many_b[nodes_b] == 1
+        if lone_a.all() and lone_b.all():
+            waiting.append((0, at_a[nodes_a], 0, at_b[nodes_b], same))
+            continue
+        if 0 < lone_a.sum() < len(lone_a) or 0 < lone_b.sum() < len(lone_b):
+            for in_a in (lone_a, ~lone_a):
+                for in_b in (lone_b, ~lone_b):
+                    # Of the two entries of different nodes of one tree one is enough.
+                    if in_a.any() and in_b.any() and not (same and in_b is lone_b and in_a is not lone_a):
+                        waiting.append((la, nodes_a[in_a], lb, nodes_b[in_b], same and (in_a is lone_a) == (in_b is lone_b)))
+            continue
         widest = bound + reach_a[nodes_a].max() + reach_b[nodes_b].max() + _MARGIN
         parts = []
         for i, j, cosines in _cosines(_Centres(a, at_a), nodes_a, _Centres(b, at_b), nodes_b, 1 - min(widest, 2.0) ** 2 / 2):
@@ -195,6 +254,8 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
             if same:
                 keep &= (i < j) | (i == j) & (many_a[i] > 1)
             parts.append((i[keep], j[keep], (apart + reach <= bound - _MARGIN)[keep]))
+        if not parts:
+            continue
         i, j, near = (np.concatenate(x) for x in zip(*parts, strict=True))
         if (~near).sum() > _MANY_OPEN:
             # Many small nodes close to each other: their points are compared at once. Pairs of nodes
@@ -223,37 +284,69 @@ class _Centres:
         self.points, self.rough = tree.points[at], tree.rough[at]
 
 
-def _unit_rows(embeddings: DataFrame) -> DataFrame:
-    """``vec_id``, ``size``, ``unit`` (doubles as bytes), ``digest``; null for vectors that link with nothing."""
-    kind = embeddings.schema["vec_id"].dataType.simpleString()
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors, as doubles."""
+    x = vectors.astype(np.float64)
+    x /= np.abs(x).max(axis=1)[:, None]  # neither too large nor too small to square
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def _by_size(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Rows, vectors and digests of their unit vectors, by size, without vectors that link with nothing."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    starts, sizes = offsets[:-1], np.diff(offsets)
+    sizes = np.where(column.is_valid().to_numpy(zero_copy_only=False), sizes, 0)
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        rows = np.flatnonzero(sizes == size)
+        vectors = values[starts[rows][:, None] + np.arange(size)]
+        good = np.isfinite(vectors).all(axis=1) & (vectors != 0).any(axis=1)
+        rows, vectors = rows[good], vectors[good]
+        if len(rows):
+            yield rows, vectors, [hashlib.md5(unit).digest() for unit in _unit(vectors)]
+
+
+def _vectors(embeddings: DataFrame) -> DataFrame:
+    """``vec_id`` and ``embedding`` in floats or doubles."""
+    exact = embeddings.schema["embedding"].dataType.simpleString() in ("array<float>", "array<double>")
+    vector = F.col("embedding") if exact else F.col("embedding").cast("array<double>")
+    return embeddings.select("vec_id", vector.alias("embedding"))
+
+
+def _digested(vectors: DataFrame) -> DataFrame:
+    """``vec_id``, ``size`` and ``digest``; null for vectors that link with nothing."""
+    kind = vectors.schema["vec_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units, sizes, digests = [], [], []
-            for v in batch.column("embedding").to_pylist():
-                unit = None
-                if v and None not in v:
-                    x = np.array(v, np.float64)
-                    if np.isfinite(x).all() and (top := np.abs(x).max()) > 0:
-                        x = x / top  # neither too large nor too small to square
-                        unit = (x / np.sqrt(x @ x)).tobytes()
-                units.append(unit)
-                sizes.append(None if unit is None else len(unit) // 8)
-                digests.append(None if unit is None else hashlib.md5(unit).hexdigest())
-            columns = [batch.column("vec_id"), pa.array(sizes, pa.int32()), pa.array(units, pa.binary()), pa.array(digests, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "size", "unit", "digest"])
-
-    return embeddings.select("vec_id", "embedding").mapInArrow(run, f"vec_id {kind}, size int, unit binary, digest string")
-
-
-def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, size)
-
-
-def _centres(kinds: DataFrame, size: int, cells: int) -> np.ndarray:
-    """Centres far from each other, from a sample of at most ``SAMPLE_ROWS`` rows taken by hash."""
-    rows = kinds.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_ROWS).select("unit").collect()
-    points = np.frombuffer(b"".join(bytes(r["unit"]) for r in rows), np.float64).reshape(-1, size)
+            sizes, digests = [None] * batch.num_rows, [None] * batch.num_rows
+            for rows, part, own in _by_size(batch.column("embedding")):
+                for row, digest in zip(rows.tolist(), own, strict=True):
+                    sizes[row], digests[row] = part.shape[1], digest
+            columns = [batch.column("vec_id"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "size", "digest"])
+
+    return vectors.mapInArrow(run, f"vec_id {kind}, size int, digest binary")
+
+
+def _centres(vectors: DataFrame, kinds: DataFrame, size: int, cells: int) -> np.ndarray:
+    """Centres far from each other, from a sample of at most ``SAMPLE_ROWS`` vectors taken by hash."""
+    if cells == 1:
+        return np.zeros((1, size))
+    sample = kinds.orderBy(F.xxhash64("digest"), "digest").limit(SAMPLE_ROWS).select("digest").collect()
+    wanted = {bytes(r["digest"]) for r in sample}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {}
+            for _, part, digests in _by_size(batch.column("embedding")):
+                found |= {d: part[i] for i, d in enumerate(digests) if d in wanted}
+            if found:
+                units = [unit.tobytes() for unit in _unit(np.stack(list(found.values())))]
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(units, pa.binary())], names=["digest", "unit"])
+
+    rows = vectors.mapInArrow(run, "digest binary, unit binary").groupBy("digest").agg(F.first("unit").alias("unit")).collect()
+    units = [bytes(r["unit"]) for r in sorted(rows, key=lambda r: bytes(r["digest"]))]
+    points = np.frombuffer(b"".join(units), np.float64).reshape(-1, size)
     chosen, far = [0], _apart(points[:1], points)[0]
     while len(chosen) < min(cells, MOST_CELLS, len(points)):
         chosen.append(int(far.argmax()))
@@ -261,127 +354,187 @@ def _centres(kinds: DataFrame, size: int, cells: int) -> np.ndarray:
     return points[chosen]
 
 
-def _at_home(kinds: DataFrame, size: int, centres: np.ndarray) -> DataFrame:
-    """Adds ``cell`` and ``far``, the distance to its centre."""
+def _cells(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    if len(centres) == 1:
+        return np.zeros(len(vectors), np.int64)
+    unit = _unit(vectors)
+    return np.concatenate([_apart(unit[s : s + 1024], centres).argmin(axis=1) for s in range(0, len(unit), 1024)])
+
+
+def _at_home(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``cell`` and ``digest``, once in a batch at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            distance = _apart(_matrix(batch.column("unit"), size), centres)
-            cell = distance.argmin(axis=1)
-            far = distance[np.arange(len(cell)), cell]
-            columns = [*batch.columns, pa.array(cell, pa.int32()), pa.array(far)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "cell", "far"])
+            for _, part, digests in _by_size(batch.column("embedding")):
+                cell = dict(zip(digests, _cells(part, centres).tolist(), strict=True))
+                columns = [pa.array(list(cell.values()), pa.int32()), pa.array(list(cell), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["cell", "digest"])
 
-    return kinds.select("node", "weight", "unit").mapInArrow(run, "node long, weight long, unit binary, cell int, far double")
+    return vectors.mapInArrow(run, "cell int, digest binary")
 
 
-def _visits(home: DataFrame, size: int, centres: np.ndarray, reach: np.ndarray, blocks: np.ndarray, bound: float) -> DataFrame:
-    """A row per vector and block it lives in or visits: ``task``, ``visitor``, ``node``, ``weight``, ``unit``.
+def _dealt(vectors: DataFrame, centres: np.ndarray, blocks: np.ndarray, first: int) -> DataFrame:
+    """``block``, ``digest``, ``weight``, ``vector`` (its bytes); equal vectors of a batch are one row."""
+    before = first + np.r_[0, np.cumsum(blocks)]
 
-    Of two cells the one with the smaller number visits; of two blocks of a cell the later one.
-    """
-    first = np.r_[0, np.cumsum(blocks)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part, digests in _by_size(batch.column("embedding")):
+                index: dict[bytes, int] = {}
+                kind = np.array([index.setdefault(d, len(index)) for d in digests])
+                rows = np.unique(kind, return_index=True)[1]
+                cell = _cells(part[rows], centres)
+                own = np.frombuffer(b"".join(index), np.uint64)[::2] % blocks[cell].astype(np.uint64)
+                columns = [
+                    pa.array(before[cell] + own.astype(np.int64), pa.int32()),
+                    pa.array(list(index), pa.binary()),
+                    pa.array(np.bincount(kind)),
+                    pa.array([v.tobytes() for v in part[rows]], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "digest", "weight", "vector"])
+
+    return vectors.mapInArrow(run, "block int, digest binary, weight long, vector binary")
+
+
+_BLOCK = "block int, n int, centre array<double>, reach double, weights binary, vectors binary, tree binary, digests binary"
+
+
+def _packed(tree: CoverTree) -> bytes:
+    parts = [np.array([len(tree.packed)], np.int32)]
+    for chosen, of in tree.packed:
+        parts += [np.array([len(chosen), len(of)], np.int32), chosen.astype(np.int32), of.astype(np.int32)]
+    return b"".join(p.tobytes() for p in parts)
+
+
+def _unpacked(packed: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    numbers, at, levels = np.frombuffer(packed, np.int32).astype(np.int64), 1, []
+    for _ in range(numbers[0]):
+        n, m = numbers[at : at + 2].tolist()
+        levels.append((numbers[at + 2 : at + 2 + n], numbers[at + 2 + n : at + 2 + n + m]))
+        at += 2 + n + m
+    return levels
+
+
+def _blocks(dealt: DataFrame, size: int, kind: str) -> DataFrame:
+    """A row per block, as in ``_BLOCK``, with its vectors in the order of their digests."""
+
+    def row(block: int, parts: list[tuple[list[bytes], np.ndarray, list[bytes]]]) -> pa.RecordBatch:
+        digests = [d for p in parts for d in p[0]]
+        weights, vectors = np.concatenate([p[1] for p in parts]), [v for p in parts for v in p[2]]
+        new = np.array([i for i, d in enumerate(digests) if i == 0 or d != digests[i - 1]])
+        weights = np.add.reduceat(weights, new)
+        held = b"".join(vectors[i] for i in new)
+        points = _unit(np.frombuffer(held, kind).reshape(-1, size))
+        centre = points.mean(axis=0)
+        if np.sqrt(centre @ centre) < 1e-6:
+            centre = points[0]
+        centre = centre / np.sqrt(centre @ centre)
+        reach = float(_apart(points, centre[None]).max())
+        tree = _packed(CoverTree(points, weights))
+        values = [block, len(new), centre.tolist(), reach, weights.tobytes(), held, tree, b"".join(digests[i] for i in new)]
+        types = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.float64(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=[f.split()[0] for f in _BLOCK.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = -1, []
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                cell = part.column("cell").to_numpy()
-                own = part.column("node").to_numpy() % 2_147_483_647 * 48_271 % 2_147_483_647 % blocks[cell]
-                goes = _apart(_matrix(part.column("unit"), size), centres) <= reach + bound + _MARGIN
-                goes &= np.arange(len(centres)) > cell[:, None]
-                of, task, visitor = [np.arange(len(cell))], [first[cell] + own], [np.zeros(len(cell), bool)]
-                for c in np.flatnonzero(goes.any(axis=0)):
-                    rows = np.flatnonzero(goes[:, c])
-                    for b in range(blocks[c]):
-                        of.append(rows)
-                        task.append(np.full(len(rows), first[c] + b))
-                        visitor.append(np.ones(len(rows), bool))
-                for b in range(int(own.max(initial=0))):
-                    rows = np.flatnonzero(own > b)
-                    of.append(rows)
-                    task.append(first[cell[rows]] + b)
-                    visitor.append(np.ones(len(rows), bool))
-                of, task, visitor = (np.concatenate(x) for x in (of, task, visitor))
-                for s in range(0, len(of), 8192):
-                    kept = part.select(["node", "weight", "unit"]).take(pa.array(of[s : s + 8192]))
-                    columns = [pa.array(task[s : s + 8192], pa.int32()), pa.array(visitor[s : s + 8192]), *kept.columns]
-                    yield pa.RecordBatch.from_arrays(columns, names=["task", "visitor", *kept.schema.names])
-
-    return home.mapInArrow(run, "task int, visitor boolean, node long, weight long, unit binary")
-
-
-def _linked(visits: DataFrame, size: int, cosine: float) -> DataFrame:
-    """``u``, ``v``, ``n``: links of ``u`` found in a task (where ``v`` is ``u``), and links that span them (n = 0)."""
+            of = batch.column("block").to_numpy()
+            turn = (np.flatnonzero(of[1:] != of[:-1]) + 1).tolist()
+            for a, z in zip([0, *turn], [*turn, len(of)], strict=True):
+                if a == z:
+                    continue
+                if of[a] != block and parts:
+                    yield row(block, parts)
+                    parts = []
+                block = int(of[a])
+                part = batch.slice(a, z - a)
+                parts.append((part.column("digest").to_pylist(), part.column("weight").to_numpy(), part.column("vector").to_pylist()))
+        if parts:
+            yield row(block, parts)
 
-    def batch_of(node: np.ndarray, links: Links, rows: slice) -> pa.RecordBatch:
-        index = np.arange(len(node))[rows]
-        counted = index[links.count[rows] > 0]
-        joined = index[links.root[rows] != index]
-        u = np.r_[node[counted], node[joined]]
-        v = np.r_[node[counted], node[links.root[joined]]]
-        n = np.r_[links.count[counted], np.zeros(len(joined), np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(n)], names=["u", "v", "n"])
+    return dealt.repartition("block").sortWithinPartitions("block", "digest").mapInArrow(run, _BLOCK)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, tree, links, nodes = -1, None, None, np.zeros(0, np.int64)
-        arriving: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def settled() -> Iterator[pa.RecordBatch]:
-            """Makes the residents' tree of what has arrived, or lets it visit them."""
-            nonlocal tree, links, nodes
-            if not arriving:
-                return
-            ids, weights, points = (np.concatenate(x) for x in zip(*arriving, strict=True))
-            arriving.clear()
-            if tree is None:
-                tree, nodes, links = CoverTree(points, weights), ids, Links(len(ids))
-                traverse(tree, tree, links, 0, 0, cosine)
-                return
-            for s in range(0, len(ids), _VISITORS):
-                some = slice(s, s + _VISITORS)
-                both = Links(len(nodes) + len(ids[some]))
-                both.count[: len(nodes)], both.root[: len(nodes)] = links.count, links.root
-                traverse(CoverTree(points[some], weights[some]), tree, both, len(nodes), 0, cosine)
-                yield batch_of(np.r_[nodes, ids[some]], both, slice(len(nodes), None))
-                links.count, links.root = both.count[: len(nodes)], both.root[: len(nodes)]
-
-        def finished() -> Iterator[pa.RecordBatch]:
-            nonlocal tree
-            yield from settled()
-            if tree is not None:
-                yield batch_of(nodes, links, slice(0, None))
-            tree = None
+def _node(block: int) -> int:
+    """The node of the first vector of a block; the others follow."""
+    return block << 32
+
+
+def _members(blocks: DataFrame) -> DataFrame:
+    """``digest`` and ``node`` of the vectors of blocks."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tasks, visitor = batch.column("task").to_numpy(), batch.column("visitor").to_numpy(zero_copy_only=False)
-            columns = (batch.column("node").to_numpy(), batch.column("weight").to_numpy(), _matrix(batch.column("unit"), size))
-            turn = np.flatnonzero((tasks[1:] != tasks[:-1]) | (visitor[1:] != visitor[:-1])) + 1
-            for a, z in zip([0, *turn.tolist()], [*turn.tolist(), len(tasks)], strict=True):
-                if a == z:
-                    continue
-                if tasks[a] != task:
-                    yield from finished()
-                    task = int(tasks[a])
-                elif visitor[a] and tree is None or sum(len(x[0]) for x in arriving) >= _VISITORS and tree is not None:
-                    yield from settled()
-                arriving.append(tuple(c[a:z] for c in columns))
-        yield from finished()
+            for block, joined in zip(batch.column("block").to_pylist(), batch.column("digests").to_pylist(), strict=True):
+                digests = [joined[i : i + 16] for i in range(0, len(joined), 16)]
+                nodes = _node(block) + np.arange(len(digests))
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(nodes)], names=["digest", "node"])
 
-    dealt = visits.repartition("task").sortWithinPartitions("task", "visitor")
-    return dealt.mapInArrow(run, "u long, v long, n long")
+    return blocks.select("block", "digests").mapInArrow(run, "digest binary, node long")
 
 
-def _links_of_size(kinds: DataFrame, size: int, cosine: float, block_rows: int) -> DataFrame:
-    kinds = kinds.filter(F.col("size") == size)
+def _meetings(blocks: DataFrame, n: int, bound: float) -> DataFrame:
+    """Pairs of blocks, a block with itself included, that may hold vectors within ``bound`` of each other.
+
+    A task reads two partitions of stored blocks and pairs them there. Nothing is written, however many pairs.
+    """
+    held = blocks.select("block", "centre", "reach", "weights", "vectors", "tree").coalesce(max(-(-n // _TOGETHER), min(n, _LEAST_TOGETHER)))
+    a, b = (held.select(*(F.col(c).alias(f"{side}_{c}") for c in held.columns)) for side in "ab")
+    cosine = F.aggregate(F.zip_with("a_centre", "b_centre", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    apart = F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * cosine, F.lit(0.0)))
+    near = apart <= F.col("a_reach") + F.col("b_reach") + F.lit(bound + 1e-6)
+    return a.join(b.hint("shuffle_replicate_nl"), (F.col("a_block") <= F.col("b_block")) & near).drop("a_centre", "a_reach", "b_centre", "b_reach")
+
+
+def _linked(meetings: DataFrame, size: int, kind: str, cosine: float) -> DataFrame:
+    """``u``, ``v``, ``n``: links of ``u`` found in a task (where ``v`` is ``u``), and links that span them (n = 0)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links, at, trees = Links(0), {}, {}
+
+        def tree(batch: pa.RecordBatch, row: int, side: str) -> tuple[CoverTree, int]:
+            block = batch.column(f"{side}_block")[row].as_py()
+            if block not in trees:
+                weights, vectors, packed = (batch.column(f"{side}_{c}")[row].as_buffer() for c in ("weights", "vectors", "tree"))
+                if len(trees) > _TOGETHER + 2:
+                    del trees[next(iter(trees))]
+                points = _unit(np.frombuffer(vectors, kind).reshape(-1, size))
+                trees[block] = CoverTree(points, np.frombuffer(weights, np.int64).copy(), _unpacked(packed))
+            trees[block] = trees.pop(block)  # the last to go
+            if block not in at:
+                at[block] = len(links.root)
+                links.grow(len(trees[block].points))
+            return trees[block], at[block]
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                (a, from_a), (b, from_b) = tree(batch, row, "a"), tree(batch, row, "b")
+                traverse(a, b, links, from_a, from_b, cosine)
+        node = np.concatenate([np.zeros(0, np.int64), *(_node(b) + np.arange(z - a) for b, a, z in zip(at, at.values(), [*at.values(), len(links.root)][1:]))])
+        counted = np.flatnonzero(links.count)
+        joined = np.flatnonzero(links.root != np.arange(len(node)))
+        for u, v, n in ((counted, counted, links.count[counted]), (joined, links.root[joined], np.zeros(len(joined), np.int64))):
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v]), pa.array(n)], names=["u", "v", "n"])
+
+    return meetings.mapInArrow(run, "u long, v long, n long")
+
+
+def _blocks_of_size(vectors: DataFrame, kinds: DataFrame, size: int, block_rows: int, first: int) -> tuple[DataFrame, int]:
+    """Stored blocks of the vectors of a size, numbered from ``first``, and the number after them."""
+    vectors, kinds = vectors.filter(F.size("embedding") == size).select("embedding"), kinds.filter(F.col("size") == size)
     n = kinds.count()
-    centres = _centres(kinds, size, -(-n // block_rows))
-    home = stored(_at_home(kinds, size, centres))
-    reach, blocks = np.zeros(len(centres)), np.ones(len(centres), np.int64)
-    for r in home.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect():
-        reach[r["cell"]], blocks[r["cell"]] = r["far"], -(-r["n"] // block_rows)
-    visits = _visits(home, size, centres, reach, blocks, float(np.sqrt(2 - 2 * cosine)))
-    return _linked(visits, size, cosine)
+    rows = min(block_rows, max(_LEAST_BLOCK_ROWS, n // _LEAST_BLOCKS), max(256, _BLOCK_VALUES // size))
+    centres = _centres(vectors, kinds, size, -(-n // rows))
+    blocks = np.ones(len(centres), np.int64)
+    if len(centres) > 1:
+        for r in _at_home(vectors, centres).distinct().groupBy("cell").count().collect():
+            blocks[r["cell"]] = -(-r["count"] // rows)
+    else:
+        blocks[0] = -(-n // rows)
+    kind = "f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "f8"
+    return stored(_blocks(_dealt(vectors, centres, blocks, first), size, kind)), first + int(blocks.sum())
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -392,15 +545,19 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, block_rows: i
     vectors; a null ``vec_id`` is in its component but doesn't name it unless it has no other; an empty table
     gives no rows; other columns, labels included, are ignored.
     """
-    rows = stored(_unit_rows(embeddings))
-    kinds = rows.filter("unit IS NOT NULL").groupBy("digest").agg(
-        F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"), F.first("unit").alias("unit"), F.first("size").alias("size")
-    )
-    kinds = stored(kinds.withColumn("node", F.monotonically_increasing_id()))
-    found = None
+    vectors = _vectors(embeddings)
+    kind = "f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "f8"
+    rows = stored(_digested(vectors))
+    kinds = rows.filter("digest IS NOT NULL").groupBy("digest", "size").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first"))
+    kinds = stored(kinds)
+    found = members = None
+    n = 0
     for r in sorted(kinds.select("size").distinct().collect()):
-        links = _links_of_size(kinds, r["size"], cosine, block_rows)
+        before = n
+        blocks, n = _blocks_of_size(vectors, kinds, r["size"], block_rows, before)
+        links = _linked(_meetings(blocks, n - before, float(np.sqrt(2 - 2 * cosine))), r["size"], kind, cosine)
         found = links if found is None else found.unionByName(links)
+        members = _members(blocks) if members is None else members.unionByName(_members(blocks))
     alone = rows.filter("digest IS NULL").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
     )
@@ -409,7 +566,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, block_rows: i
     found = stored(found)
     counts = found.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.filter("u != v").select("u", "v"))
-    named = kinds.select("digest", "node", "weight", "first").join(counts, "node", "left").join(roots, "node", "left")
+    named = kinds.join(members, "digest").join(counts, "node", "left").join(roots, "node", "left")
     named = named.select("digest", "weight", "first", "n", F.coalesce("root", "node").alias("root"))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(lowest, "root").select("digest", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")

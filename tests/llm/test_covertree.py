@@ -99,3 +99,31 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     found = sorted(map(str, (tuple(r) for r in covertree.near_duplicates(df).collect())))
     assert found == sorted(map(str, [(5, 3, 5, True)] * 2 + [(None, 3, 5, False), (7, 3, 5, False), (None, 0, None, True)]))
     assert covertree.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_disk_grows_with_rows_and_not_with_meetings_of_blocks(spark):
+    # Vectors in no order: all blocks meet, and every vector has to be compared with all blocks.
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 64)).astype(np.float32)
+    x[1500:1600] = x[1500] + 0.1 * np.linalg.norm(x[1500]) / 8 * r.normal(size=(100, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").repartition(4)
+
+    def on_disk():
+        """Lengths of the files of Spark's own folder and of the checkpoint folder, by name."""
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        lengths = {files.apply(i).getPath(): files.apply(i).length() for i in range(files.size())}
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+        each = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+        while each.hasNext():
+            file = each.next()
+            lengths[file.getPath().toString()] = file.getLen()
+        return lengths
+
+    covertree.stored(df.limit(1))  # so that there is a checkpoint folder
+    before = on_disk()
+    found = {r["vec_id"]: r["n_links"] for r in covertree.near_duplicates(df, block_rows=100).collect()}
+    written = sum(length for name, length in on_disk().items() if name not in before)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    assert [found[i] for i in range(len(x))] == ((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()
+    # Copies for each block would be 30 times the vectors and more; most of what is left doesn't depend on the rows.
+    assert written < 16 * x.nbytes
