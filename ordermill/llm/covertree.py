@@ -39,6 +39,9 @@ MOST_CELLS = 1024
 _MARGIN = 1e-9
 #: Sides of the part of a matrix of cosines that is looked at at a time.
 _AT_A_TIME = (256, 2048)
+#: Of vectors of so many components at least, so large a part is multiplied first.
+_LEAST_TO_CUT = 32
+_HEAD = 3 / 8
 #: Blocks of a partition; a task compares two partitions, and there are a few of them for all cores.
 _TOGETHER = 16
 _LEAST_TOGETHER = 6
@@ -150,20 +153,41 @@ class CoverTree:
         return nodes
 
 
-def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, ...]]:
+def _head(rough: np.ndarray) -> np.ndarray:
+    """The first components and the length of the others: products of these are never less than the cosines."""
+    n = int(rough.shape[1] * _HEAD)
+    others = rough[:, n:]
+    return np.column_stack([rough[:, :n], np.sqrt(np.einsum("ij,ij->i", others, others))])
+
+
+def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: float, later: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
     """Pairs (i, j) of ``x`` and ``y`` with their cosines, of which none of ``least`` or more is missing.
 
-    Single precision finds the pairs, double precision gives the cosines.
+    Single precision finds the pairs, double precision gives the cosines. Where the first components and the
+    lengths of the others exclude all pairs of a part, the others are not multiplied. With ``later``, pairs of
+    a ``y`` before ``x`` in their order may be missing.
     """
     rough_a, rough_b = a.rough[x], b.rough[y]
     rows, columns = _AT_A_TIME
+    cut = rough_a.shape[1] >= _LEAST_TO_CUT
+    head_a, head_b = (_head(rough_a), _head(rough_b)) if cut else (rough_a, rough_b)
+    seen = passed = 0
+    room = np.empty(min(rows, len(x)) * min(columns, len(y)), np.float32)
     for s in range(0, len(x), rows):
         for t in range(0, len(y), columns):
-            rough = rough_a[s : s + rows] @ rough_b[t : t + columns].T
-            if rough.max() < least - 1e-5:
+            if later and t + columns <= s:
                 continue
-            i, j = np.nonzero(rough >= least - 1e-5)
             some, others = x[s : s + rows], y[t : t + columns]
+            rough = room[: len(some) * len(others)].reshape(len(some), len(others))
+            if cut:
+                seen += 1
+                if np.matmul(head_a[s : s + rows], head_b[t : t + columns].T, out=rough).max() < least - 1e-5:
+                    continue
+                passed += 1
+                cut = seen < 8 or 2 * passed < seen
+            if np.matmul(rough_a[s : s + rows], rough_b[t : t + columns].T, out=rough).max() < least - 1e-5:
+                continue
+            i, j = np.divmod(np.flatnonzero(rough >= least - 1e-5), len(others))
             if len(i) > len(some) * 16:
                 cosines = (a.points[some] @ b.points[others].T)[i, j]
             else:
@@ -204,7 +228,9 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
     bound = float(np.sqrt(2 - 2 * cosine))
 
     def exact(x: np.ndarray, y: np.ndarray, same: bool) -> None:
-        for i, j, cosines in _cosines(a, x, b, y, cosine):
+        if same:
+            x = y = np.sort(x)
+        for i, j, cosines in _cosines(a, x, b, y, cosine, later=same):
             near = cosines >= cosine
             if same:
                 near &= i < j
