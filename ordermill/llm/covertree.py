@@ -47,6 +47,8 @@ _TOGETHER = 16
 _LEAST_TOGETHER = 6
 #: Pairs of nodes that are taken one by one.
 _MANY_OPEN = 64
+#: Pairs of points that are compared in the time that one pair of nodes takes, about.
+_POINTS_A_NODE = 1000
 #: Wider nodes exclude nothing: unit vectors are at most 2 apart.
 _RADII = (0.5, 0.25, 0.125)
 
@@ -160,12 +162,13 @@ def _head(rough: np.ndarray) -> np.ndarray:
     return np.column_stack([rough[:, :n], np.sqrt(np.einsum("ij,ij->i", others, others))])
 
 
-def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: float, later: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
+def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: float, later: bool = False, crowded=None) -> Iterator[tuple[np.ndarray, ...]]:
     """Pairs (i, j) of ``x`` and ``y`` with their cosines, of which none of ``least`` or more is missing.
 
     Single precision finds the pairs, double precision gives the cosines. Where the first components and the
     lengths of the others exclude all pairs of a part, the others are not multiplied. With ``later``, pairs of
-    a ``y`` before ``x`` in their order may be missing.
+    a ``y`` before ``x`` in their order may be missing. Parts that are full of pairs go to ``crowded``, if
+    given, as slices of ``x`` and ``y``.
     """
     rough_a, rough_b = a.rough[x], b.rough[y]
     rows, columns = _AT_A_TIME
@@ -187,7 +190,11 @@ def _cosines(a: CoverTree, x: np.ndarray, b: CoverTree, y: np.ndarray, least: fl
                 cut = seen < 8 or 2 * passed < seen
             if np.matmul(rough_a[s : s + rows], rough_b[t : t + columns].T, out=rough).max() < least - 1e-5:
                 continue
-            i, j = np.divmod(np.flatnonzero(rough >= least - 1e-5), len(others))
+            pairs = rough >= least - 1e-5
+            if crowded is not None and np.count_nonzero(pairs) > pairs.size / 16:
+                crowded(slice(s, s + rows), slice(t, t + columns))
+                continue
+            i, j = np.divmod(np.flatnonzero(pairs), len(others))
             if len(i) > len(some) * 16:
                 cosines = (a.points[some] @ b.points[others].T)[i, j]
             else:
@@ -230,7 +237,23 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
     def exact(x: np.ndarray, y: np.ndarray, same: bool) -> None:
         if same:
             x = y = np.sort(x)
-        for i, j, cosines in _cosines(a, x, b, y, cosine, later=same):
+
+        def crowded(rows: slice, columns: slice) -> None:
+            """Counts links without making a list of them."""
+            i, j = x[rows], y[columns]
+            near = a.points[i] @ b.points[j].T >= cosine
+            if same:
+                near &= i[:, None] < j
+            ones = near.astype(np.float64)
+            links.count[i + shift_a] += (ones @ b.weights[j].astype(np.float64)).astype(np.int64)
+            links.count[j + shift_b] += (a.weights[i].astype(np.float64) @ ones).astype(np.int64)
+            some, others = near.any(axis=1), near.any(axis=0)
+            links.join(i[some] + shift_a, j[near.argmax(axis=1)[some]] + shift_b)
+            links.join(i[near.argmax(axis=0)[others]] + shift_a, j[others] + shift_b)
+            k, m = np.nonzero(near & (links.root[i + shift_a][:, None] != links.root[j + shift_b]))
+            links.join(i[k] + shift_a, j[m] + shift_b)
+
+        for i, j, cosines in _cosines(a, x, b, y, cosine, same, crowded):
             near = cosines >= cosine
             if same:
                 near &= i < j
@@ -283,7 +306,8 @@ def traverse(a: CoverTree, b: CoverTree, links: Links, shift_a: int, shift_b: in
         if not parts:
             continue
         i, j, near = (np.concatenate(x) for x in zip(*parts, strict=True))
-        if (~near).sum() > _MANY_OPEN:
+        points = float(many_a[np.unique(i)].sum()) * float(many_b[np.unique(j)].sum())
+        if (~near).sum() > _MANY_OPEN or len(i) * _POINTS_A_NODE > points:
             # Many small nodes close to each other: their points are compared at once. Pairs of nodes
             # that were left hold no links, so nothing is counted that shouldn't be.
             nodes_a, nodes_b = np.unique(i), np.unique(j)

@@ -92,6 +92,37 @@ def test_nested_clusters_in_one_tree(monkeypatch, many_open):
     assert (links.root[x] == links.root[y]).all()
 
 
+@pytest.mark.parametrize("far", [0.16, 0.22, 0.25])
+def test_crowded_blocks(far):
+    r = np.random.default_rng(12)
+    middle = r.normal(size=64)
+    points = np.concatenate([middle / np.linalg.norm(middle) + far / 8 * r.normal(size=(900, 64)), r.normal(size=(300, 64))])
+    points = points[r.permutation(len(points))]
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    weights = r.integers(1, 4, len(points))
+    near = points @ points.T >= 0.95
+    np.fill_diagonal(near, False)
+
+    def check(links):
+        assert (links.count == near @ weights).all()
+        group = np.arange(len(points))
+        for _ in range(len(points)):
+            lowest = np.where(near, group, len(points)).min(axis=1)
+            if (group <= lowest).all():
+                break
+            group = np.minimum(group, lowest)
+        assert (links.root == group).all()
+
+    whole, links = covertree.CoverTree(points, weights), covertree.Links(len(points))
+    covertree.traverse(whole, whole, links, 0, 0)
+    check(links)
+    a, b = (covertree.CoverTree(points[s], weights[s]) for s in (slice(0, 500), slice(500, None)))
+    links = covertree.Links(len(points))
+    for x, y, from_x, from_y in ((a, a, 0, 0), (b, b, 500, 500), (a, b, 0, 500)):
+        covertree.traverse(x, y, links, from_x, from_y)
+    check(links)
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     v = [1.0, 2.0]
     rows = [(5, v), (5, v), (None, v), (7, [2.0, 4.0]), (None, [-1.0, 2.0])]
